@@ -42,6 +42,8 @@ def grouped_quantiles(
     accuracy: int = 100_000,
     small_group: int = 100_000,
     salts: int = 16,
+    carry: dict[str, Column] | None = None,
+    few_groups: bool = False,
 ) -> DataFrame:
     """One row per group: ``keys``, ``n`` (non-NULL values), one column per quantile.
 
@@ -49,27 +51,35 @@ def grouped_quantiles(
     smallest element whose rank share reaches the probability (the lower
     median for 0.5); ``cont`` interpolates linearly between neighbours.
     A group whose values are all NULL appears with ``n`` = 0 and NULLs.
+    ``carry`` names further aggregates over ``df`` (means, say) to be computed
+    in the first pass and returned too, which saves them a scan of their own.
+    ``few_groups`` says the keys have a fixed handful of values, so that the
+    rows need not be shuffled to meet their brackets.
     """
     if method not in (DISCRETE, LINEAR):
         raise ValueError(f"unknown method {method!r}")
     keys = list(keys)
     probabilities = list(quantiles.values())
-    slim = df.select(*keys, F.col(value).cast("double").alias(_V))
+    extra = {f"__carry_{name}": c for name, c in (carry or {}).items()}
+    kept = list(extra)
+    measured = df.withColumn(_V, F.col(value).cast("double"))
+    slim = measured.select(*keys, _V)
 
     margin = 4.0 / accuracy
     wanted = [min(1.0, max(0.0, p + side * margin)) for p in probabilities for side in (-1, 1)]
     sketch = F.percentile_approx(_V, wanted, accuracy)
     whole = F.array(*[F.min(_V) if i % 2 == 0 else F.max(_V) for i in range(len(wanted))])
-    brackets = slim.groupBy(*keys).agg(
+    brackets = measured.groupBy(*keys).agg(
         F.count(_V).alias(_N),
         F.when(F.count(_V) <= small_group, whole).otherwise(sketch).alias(_EDGES),
+        *[c.alias(name) for name, c in extra.items()],
     )
     values = slim.filter(F.col(_V).isNotNull())
     if keys:
-        placed = salted_lookup(values, brackets, keys, [*keys, _V], salts)
+        placed = salted_lookup(values, brackets, keys, [*keys, _V], salts, few_keys=few_groups)
     else:
-        only = brackets.select(F.struct(_N, _EDGES)).scalar()
-        placed = values.withColumn("__b", only).select(_V, f"__b.{_N}", f"__b.{_EDGES}")
+        only = brackets.select(F.struct(_N, _EDGES, *kept)).scalar()
+        placed = values.withColumn("__b", only).select(_V, *[f"__b.{c}" for c in (_N, _EDGES, *kept)])
 
     low = [F.get(_EDGES, F.lit(2 * i)) for i in range(len(probabilities))]
     high = [F.get(_EDGES, F.lit(2 * i + 1)) for i in range(len(probabilities))]
@@ -83,10 +93,11 @@ def grouped_quantiles(
         placed.select(
             *keys,
             _N,
+            *kept,
             F.when(inside, F.col(_V)).otherwise(edge_below).alias(_REP),
             (~inside).cast("int").alias(_GAP),
         )
-        .groupBy(*keys, _N, _REP, _GAP)
+        .groupBy(*keys, _N, *kept, _REP, _GAP)
         .agg(F.count(F.lit(1)).alias(_CNT))
     )
     running = W.partitionBy(*keys).orderBy(F.col(_REP).asc_nulls_first(), F.col(_GAP)).rowsBetween(
@@ -98,13 +109,21 @@ def grouped_quantiles(
         picked = {name: _element(_rank(p)) for name, p in quantiles.items()}
     else:
         picked = {name: _interpolated(p) for name, p in quantiles.items()}
-    answers = ranked.groupBy(*keys).agg(F.max(_N).alias("n"), *[c.alias(k) for k, c in picked.items()])
-    sizes = brackets.select(*keys, _N)
+    answers = ranked.groupBy(*keys).agg(
+        F.max(_N).alias("n"),
+        *[F.first(c).alias(name) for c, name in zip(kept, carry or {})],
+        *[c.alias(k) for k, c in picked.items()],
+    )
     if not keys:
         # A global aggregate always yields its one row; only n needs a value.
         return answers.withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
-    empty = sizes.filter(F.col(_N) == 0).select(
-        *keys, F.col(_N).alias("n"), *[F.lit(None).cast("double").alias(k) for k in quantiles]
+    # The edges of an empty group are NULL.  Naming them, and not a literal,
+    # asks for the very aggregate used above, whose shuffle is then reused.
+    empty = brackets.filter(F.col(_N) == 0).select(
+        *keys,
+        F.col(_N).alias("n"),
+        *[F.col(c).alias(name) for c, name in zip(kept, carry or {})],
+        *[F.get(_EDGES, F.lit(0)).alias(k) for k in quantiles],
     )
     return answers.unionByName(empty)
 

@@ -13,7 +13,14 @@ WHISKER_REACH = 1.5
 
 
 def box_stats(
-    df: DataFrame, category: str, value: str, *, reach: float = WHISKER_REACH, salts: int = 16, **quantile_options: int
+    df: DataFrame,
+    category: str,
+    value: str,
+    *,
+    reach: float = WHISKER_REACH,
+    salts: int = 16,
+    few_groups: bool = False,
+    **quantile_options: int,
 ) -> DataFrame:
     """Per category: n, quartiles (linear), whisker ends, number of outliers.
 
@@ -23,9 +30,16 @@ def box_stats(
     """
     points = df.select(category, F.col(value).cast("double").alias("__x")).dropna(subset=["__x"])
     quartiles = grouped_quantiles(
-        points, [category], "__x", {"q1": 0.25, "median": 0.5, "q3": 0.75}, method=LINEAR, salts=salts, **quantile_options
+        points,
+        [category],
+        "__x",
+        {"q1": 0.25, "median": 0.5, "q3": 0.75},
+        method=LINEAR,
+        salts=salts,
+        few_groups=few_groups,
+        **quantile_options,
     )
-    placed = salted_lookup(points, quartiles, [category], [category, "__x"], salts)
+    placed = salted_lookup(points, quartiles, [category], [category, "__x"], salts, few_keys=few_groups)
     span = F.lit(reach) * (F.col("q3") - F.col("q1"))
     floor, ceiling = F.col("q1") - span, F.col("q3") + span
     box = ["n", "q1", "median", "q3"]

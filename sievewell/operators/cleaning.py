@@ -138,9 +138,17 @@ def one_per_key(df: DataFrame, key: str | Sequence[str], prefer: Sequence[Column
     key repeated in a third of all rows sends one row per map task.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    order = list(prefer) if prefer else [F.col(f"`{c}`") for c in df.columns if c not in keys]
-    place = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("__place", place).filter(F.col("__place") == 1).drop("__place")
+    order = list(prefer) if prefer else [c for c in df.columns if c not in keys]
+    if all(isinstance(c, str) for c in order):
+        # One SQL text instead of one driver call per column.
+        place = F.expr(f"row_number() OVER (PARTITION BY {_names(keys)} ORDER BY {_names(order)})")
+    else:
+        place = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("__place", place).filter("__place = 1").drop("__place")
+
+
+def _names(columns: Sequence[str]) -> str:
+    return ", ".join(f"`{c}`" for c in columns)
 
 
 # Stage names of the cleaning funnel, in order.

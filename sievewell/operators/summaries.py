@@ -22,15 +22,18 @@ def compare_by_presence(
     """AGG1: rows with and without ``column``: means and one exact lower median.
 
     ``means`` maps output name to column, ``median`` is (output name, column).
-    The flag has two values, so both sides of the join below are two rows.
+    The means ride on the first of the two passes the median takes.
     """
     flagged = df.withColumn(flag, F.col(column).isNotNull())
-    averages = flagged.groupBy(flag).agg(*[F.avg(c).alias(name) for name, c in means.items()])
-    if median is not None:
+    averages = {name: F.avg(c) for name, c in means.items()}
+    if median is None:
+        compared = flagged.groupBy(flag).agg(*[c.alias(name) for name, c in averages.items()])
+    else:
         name, value = median
-        middle = grouped_quantiles(flagged, [flag], value, {name: 0.5}, **quantile_options).drop("n")
-        averages = averages.join(middle, flag)
-    return averages.orderBy(F.col(flag).desc())
+        compared = grouped_quantiles(
+            flagged, [flag], value, {name: 0.5}, carry=averages, few_groups=True, **quantile_options
+        ).drop("n")
+    return compared.orderBy(F.col(flag).desc())
 
 
 def compare_by_presence_approx(
@@ -93,8 +96,12 @@ def tally(df: DataFrame, column: str, name: str = "n") -> DataFrame:
 
 
 def reason_tally(df: DataFrame, reason: str = "validation_reason", name: str = "n") -> DataFrame:
-    """AGG6: rejected rows per reason."""
-    return tally(df.filter(F.col(reason).isNotNull()), reason, name)
+    """AGG6: rejected rows per reason.
+
+    Valid rows are left out by their count of reasons rather than by a filter:
+    a filter would be pushed below the validation and run every rule twice.
+    """
+    return df.groupBy(reason).agg(F.count(reason).alias(name)).filter(F.col(name) > 0).orderBy(reason)
 
 
 def outcome_counts(df: DataFrame, valid: str = "is_valid") -> DataFrame:

@@ -18,6 +18,7 @@ def salted_lookup(
     spread_by: Sequence[str],
     salts: int = 16,
     how: str = "inner",
+    few_keys: bool = False,
 ) -> DataFrame:
     """Join ``facts`` to a ``lookup`` holding one row per key (NULL is a key too).
 
@@ -25,12 +26,20 @@ def salted_lookup(
     every lookup row is repeated ``salts`` times and each fact picks its copy
     by hashing ``spread_by``, so the key is spread over ``salts`` partitions.
     No size is assumed for the lookup: Spark still broadcasts it by itself if
-    its statistics allow that.
+    its statistics allow that.  Facts alike in ``spread_by`` share a copy;
+    adaptive skew-join splitting takes care of those.
+
+    ``few_keys`` is for a key with a fixed handful of values (a flag, a code
+    list): the lookup is then broadcast and the facts are not moved at all.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"salted_lookup does not support {how!r}")
-    copies = F.explode(F.array(*[F.lit(i) for i in range(salts)]))
     renamed = {k: f"__lookup_{k}" for k in keys}
+    if few_keys:
+        pairs = [F.col(k).eqNullSafe(F.col(renamed[k])) for k in keys]
+        small = F.broadcast(lookup.withColumnsRenamed(renamed))
+        return facts.join(small, reduce(lambda a, b: a & b, pairs), how).drop(*renamed.values())
+    copies = F.explode(F.array(*[F.lit(i) for i in range(salts)]))
     spread = lookup.withColumnsRenamed(renamed).select("*", copies.alias(f"__lookup{_SALT}"))
     salted = facts.withColumn(_SALT, F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     same_key = reduce(

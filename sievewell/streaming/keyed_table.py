@@ -41,29 +41,36 @@ def to_sink_row(df: DataFrame, schema: T.StructType, stamp: str | None = "ingest
     A value that does not fit its column becomes NULL; ``sink_rules`` names
     those rows beforehand.
     """
-    return df.select(
+    return df.selectExpr(
         *[
-            (F.current_timestamp() if f.name == stamp else F.col(f.name).try_cast(f.dataType)).alias(f.name)
+            f"current_timestamp() AS `{f.name}`"
+            if f.name == stamp
+            else f"try_cast(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
             for f in schema.fields
         ]
     )
 
 
+def batch_folder(path: str, stream_id: str, batch_id: int) -> str:
+    """The partition folder of one batch."""
+    return f"{path}/stream_id={check_stream_id(stream_id)}/batch_id={batch_id}"
+
+
 def unseen(rows: DataFrame, stored: DataFrame, key: str, facts: BatchFacts, broadcast_limit: int) -> DataFrame:
     """DED2/JON7: rows whose key is not stored.
 
     The stored table may be far larger than the batch, so it is never shuffled
     or broadcast as a whole: only its keys within the batch's key range are
     read (a range that row-group statistics can skip by), matched against the
-    batch's keys, and the few hits taken out of the batch.  The batch's keys
-    are broadcast while their counted number is within ``broadcast_limit``.
+    batch's keys, and the few hits taken out of the batch.  Keys and hits are
+    broadcast while the counted size of the batch, which bounds both, is
+    within ``broadcast_limit``; a larger batch is joined by shuffle.
     """
+    small = facts.valid <= broadcast_limit
     wanted = rows.select(key)
-    if facts.valid <= broadcast_limit:
-        wanted = F.broadcast(wanted)
     in_range = F.col(key).between(F.lit(facts.key_from), F.lit(facts.key_to))
-    hits = stored.select(key).filter(in_range).join(wanted, key, "left_semi")
-    return rows.join(hits, key, "left_anti")
+    hits = stored.select(key).filter(in_range).join(F.broadcast(wanted) if small else wanted, key, "left_semi")
+    return rows.join(F.broadcast(hits) if small else hits, key, "left_anti")
 
 
 @dataclass(frozen=True)
@@ -82,6 +89,7 @@ class KeyedParquetTable:
     schema: T.StructType = field(default_factory=lambda: schemas.SINK_SCHEMA)
     prefer: Sequence[str] = ("event_time",)
     broadcast_limit: int = 1_000_000
+    one_file_limit: int = 50_000
     stored_filter: Column | None = None
 
     def prepare(self, spark: SparkSession) -> None:
@@ -95,20 +103,16 @@ class KeyedParquetTable:
     def insert_new(self, rows: DataFrame, facts: BatchFacts) -> int:
         """Store the rows with new keys as the batch's partition; how many that were."""
         spark = rows.sparkSession
-        this_batch = (F.col("stream_id") == facts.stream_id) & (F.col("batch_id") == facts.batch_id)
-        others = self.read(spark).filter(~this_batch)
+        others = self.read(spark).filter(f"NOT (stream_id = '{check_stream_id(facts.stream_id)}' AND batch_id = {facts.batch_id:d})")
         if self.stored_filter is not None:
             others = others.filter(self.stored_filter)
-        fresh = one_per_key(to_sink_row(rows, self.schema), self.key, self._survivor_order())
-        new = unseen(fresh, others, self.key, facts, self.broadcast_limit)
-        (
-            new.withColumns({"stream_id": F.lit(facts.stream_id), "batch_id": F.lit(facts.batch_id).cast("bigint")})
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*schemas.BATCH_KEYS)
-            .parquet(self.path)
-        )
-        return self.read(spark).filter(this_batch).count()
+        new = unseen(rows, others, self.key, facts, self.broadcast_limit)
+        if facts.valid <= self.one_file_limit:
+            new = new.coalesce(1)
+        folder = batch_folder(self.path, facts.stream_id, facts.batch_id)
+        to_sink_row(one_per_key(new, self.key, self._survivor_order()), self.schema).write.mode("overwrite").parquet(folder)
+        # Row counts come from the file footers.
+        return spark.read.schema(self.schema).parquet(folder).count()
 
     def _survivor_order(self) -> list[str]:
         rest = [c for c in self.schema.fieldNames() if c not in (self.key, *self.prefer, "ingested_at")]
@@ -146,8 +150,8 @@ class JdbcTable:
         # ingested_at is left to the table's own default.
         columns = T.StructType([f for f in self.schema.fields if f.name != "ingested_at"])
         order = [*self.prefer, *[c for c in columns.fieldNames() if c not in (self.key, *self.prefer)]]
-        fresh = one_per_key(to_sink_row(rows, columns), self.key, order)
-        new = unseen(fresh, self.read(spark), self.key, facts, self.broadcast_limit)
+        unstored = unseen(rows, self.read(spark), self.key, facts, self.broadcast_limit)
+        new = to_sink_row(one_per_key(unstored, self.key, order), columns)
         # Counted and written from the same rows: a second key check after the
         # write would find every key stored.
         new.persist()

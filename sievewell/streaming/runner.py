@@ -79,7 +79,7 @@ def start_stream(
     writer = SinkWriter(sink)
     if stream_id is not None:
         writer.stream_id.set_result(stream_id)
-    pending = routed_writer(clean_events(raw, rules, lenient_int=lenient_int), writer, checkpoint)
+    pending = routed_writer(clean_events(raw, rules, lenient_int=lenient_int, stamp=False), writer, checkpoint)
     pending = pending.trigger(availableNow=True) if once else pending.trigger(processingTime=interval)
     query = pending.start()
     if stream_id is None:

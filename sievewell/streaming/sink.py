@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 from typing import Protocol
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import InheritableThread
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievewell import schemas
 from sievewell.operators.validation import first_failure, sink_rules, split_valid
 from sievewell.plans.scratch import cached
-from sievewell.streaming.keyed_table import BatchFacts, check_stream_id
+from sievewell.streaming.keyed_table import BatchFacts, batch_folder
 
 REASON = "validation_reason"
 
@@ -66,52 +69,77 @@ class RoutedSink:
         The source is read once: the batch is cached while one aggregate, the
         insert and the reject write use it.
         """
-        check_stream_id(stream_id)
         with cached(batch) as rows:
             facts, outcome = self._measure(rows, batch_id, stream_id)
             if outcome.received == 0:
                 return None
-            valid, invalid = split_valid(rows)
-            inserted = self.table.insert_new(valid, facts) if facts.valid else 0
-            if outcome.rejected:
-                self._write(invalid, self.rejects_path, facts)
+            # Stamped after the cache, so that the plan up to there has no
+            # literal that changes from batch to batch (and needs no new code).
+            stamped = rows if "processing_time" in rows.columns else rows.withColumn("processing_time", F.current_timestamp())
+            valid, invalid = split_valid(stamped)
+            rejecting = self._start_rejects(invalid, facts) if outcome.rejected else None
+            try:
+                inserted = self.table.insert_new(valid, facts) if facts.valid else 0
+            finally:
+                if rejecting is not None:
+                    rejecting()
         final = BatchOutcome(stream_id, batch_id, outcome.received, inserted, outcome.rejected)
         self._log(batch.sparkSession, final)
         return final
 
-    def _measure(self, rows: DataFrame, batch_id: int, stream_id: str) -> tuple[BatchFacts, BatchOutcome]:
+    @cached_property
+    def _measures(self) -> list[Column]:
+        """What one pass finds out about a batch; built once, used for every batch."""
         valid = F.col("is_valid")
         key = F.when(valid, F.col(self.table.key))
         misfit = first_failure(sink_rules(self.event_types)) if self.check_contract else F.lit(None).cast("string")
-        found = rows.agg(
+        return [
             F.count(F.lit(1)).alias("received"),
             F.count_if(valid).alias("valid"),
             F.min(key).alias("key_from"),
             F.max(key).alias("key_to"),
             F.min(F.when(valid, misfit)).alias("misfit"),
-        ).first()
+        ]
+
+    def _measure(self, rows: DataFrame, batch_id: int, stream_id: str) -> tuple[BatchFacts, BatchOutcome]:
+        found = rows.agg(*self._measures).first()
         if found.misfit is not None:
             raise ContractViolation(f"batch {batch_id} of {stream_id}: valid rows break the sink contract: {found.misfit}")
         facts = BatchFacts(stream_id, batch_id, found.valid, found.key_from, found.key_to)
         return facts, BatchOutcome(stream_id, batch_id, found.received, 0, found.received - found.valid)
 
-    def _write(self, rows: DataFrame, path: str, facts: BatchFacts) -> None:
-        (
-            rows.withColumns({"stream_id": F.lit(facts.stream_id), "batch_id": F.lit(facts.batch_id).cast("bigint")})
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*schemas.BATCH_KEYS)
-            .parquet(path)
-        )
+    def _start_rejects(self, rows: DataFrame, facts: BatchFacts) -> Callable[[], None]:
+        """SNK6: write the reject partition beside the insert; the result waits for it."""
+        folder = batch_folder(self.rejects_path, facts.stream_id, facts.batch_id)
+        failure: list[BaseException] = []
+
+        def write() -> None:
+            try:
+                rows.write.mode("overwrite").parquet(folder)
+            except BaseException as e:
+                failure.append(e)
+
+        # Inherits the query's job group, so stopping the query stops this too.
+        thread = InheritableThread(target=write)
+        thread.start()
+
+        def wait() -> None:
+            thread.join()
+            if failure:
+                raise failure[0]
+
+        return wait
 
     def _log(self, spark: SparkSession, outcome: BatchOutcome) -> None:
         """SNK7: one row per batch, replaced on replay."""
-        row = spark.range(1).select(
-            F.lit(outcome.received).cast("bigint").alias("received"),
-            F.lit(outcome.inserted).cast("bigint").alias("inserted"),
-            F.lit(outcome.rejected).cast("bigint").alias("rejected"),
+        # A local relation: no Python worker and no generated code for one row.
+        row = spark.sql(
+            "SELECT * FROM VALUES "
+            f"({outcome.received}L, {outcome.inserted}L, {outcome.rejected}L) AS counts(received, inserted, rejected)"
+        )
+        row.coalesce(1).write.mode("overwrite").parquet(
+            batch_folder(self.counts_path, outcome.stream_id, outcome.batch_id)
         )
-        self._write(row.coalesce(1), self.counts_path, BatchFacts(outcome.stream_id, outcome.batch_id, 0))
 
 
 def partition_counts(rows: DataFrame, valid: str = "is_valid") -> DataFrame:
