@@ -82,6 +82,13 @@ class KeyedParquetTable:
     the same events under another stream id (a lost checkpoint) add nothing.
     ``stored_filter`` may restrict which stored rows can hold a repeated key
     (say, the last week), which bounds the read for keys without time order.
+    A batch counted to be within ``one_file_limit`` rows is written by one
+    task, without a shuffle.
+
+    ``distinct_stream`` says that a stream never hands over a key twice (see
+    ``runner.first_arrivals``).  Only rows of other streams are then compared,
+    listed once per run, and not at all when there are none: the cost of a
+    batch no longer grows with the table.
     """
 
     path: str
@@ -91,11 +98,14 @@ class KeyedParquetTable:
     broadcast_limit: int = 1_000_000
     one_file_limit: int = 50_000
     stored_filter: Column | None = None
+    distinct_stream: bool = False
+    _elsewhere: dict[str, DataFrame | None] = field(default_factory=dict, repr=False, compare=False)
 
     def prepare(self, spark: SparkSession) -> None:
         """Make the table readable before its first batch."""
         empty = spark.createDataFrame([], schemas.with_batch_keys(self.schema))
         empty.write.mode("append").partitionBy(*schemas.BATCH_KEYS).parquet(self.path)
+        self._elsewhere.clear()
 
     def read(self, spark: SparkSession) -> DataFrame:
         return read_keyed_table(spark, self.path, self.schema)
@@ -103,17 +113,30 @@ class KeyedParquetTable:
     def insert_new(self, rows: DataFrame, facts: BatchFacts) -> int:
         """Store the rows with new keys as the batch's partition; how many that were."""
         spark = rows.sparkSession
-        others = self.read(spark).filter(f"NOT (stream_id = '{check_stream_id(facts.stream_id)}' AND batch_id = {facts.batch_id:d})")
-        if self.stored_filter is not None:
-            others = others.filter(self.stored_filter)
-        new = unseen(rows, others, self.key, facts, self.broadcast_limit)
+        stored = self._of_other_streams(spark, facts) if self.distinct_stream else self._of_other_batches(spark, facts)
+        if stored is not None and self.stored_filter is not None:
+            stored = stored.filter(self.stored_filter)
+        new = rows if stored is None else unseen(rows, stored, self.key, facts, self.broadcast_limit)
         if facts.valid <= self.one_file_limit:
             new = new.coalesce(1)
+        if not self.distinct_stream:
+            new = one_per_key(new, self.key, self._survivor_order())
         folder = batch_folder(self.path, facts.stream_id, facts.batch_id)
-        to_sink_row(one_per_key(new, self.key, self._survivor_order()), self.schema).write.mode("overwrite").parquet(folder)
+        to_sink_row(new, self.schema).write.mode("overwrite").parquet(folder)
         # Row counts come from the file footers.
         return spark.read.schema(self.schema).parquet(folder).count()
 
+    def _of_other_batches(self, spark: SparkSession, facts: BatchFacts) -> DataFrame:
+        stream = check_stream_id(facts.stream_id)
+        return self.read(spark).filter(f"NOT (stream_id = '{stream}' AND batch_id = {facts.batch_id:d})")
+
+    def _of_other_streams(self, spark: SparkSession, facts: BatchFacts) -> DataFrame | None:
+        stream = check_stream_id(facts.stream_id)
+        if stream not in self._elsewhere:
+            others = self.read(spark).filter(f"stream_id <> '{stream}'")
+            self._elsewhere[stream] = None if others.isEmpty() else others
+        return self._elsewhere[stream]
+
     def _survivor_order(self) -> list[str]:
         rest = [c for c in self.schema.fieldNames() if c not in (self.key, *self.prefer, "ingested_at")]
         return [*self.prefer, *rest]

@@ -7,6 +7,7 @@ from concurrent.futures import Future
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -33,6 +34,22 @@ def event_stream(
     return reader.csv(folder)
 
 
+def first_arrivals(cleaned: DataFrame, key: str = "event_id") -> DataFrame:
+    """Of valid rows the first per key over the life of the checkpoint; all other rows.
+
+    Keys live in the query's state store, partitioned by key over the
+    executors: a batch looks up its own keys only, as an index would, however
+    large the table has grown.  Repeats do not reach the sink; a batch's
+    ``received`` is then what arrived for the first time, and the progress
+    log's ``num_input_rows`` is what was read.  Use the RocksDB provider
+    (``spark.sql.streaming.stateStore.providerClass``) for large key sets, and
+    fix ``spark.sql.shuffle.partitions`` before the first start: it sets the
+    number of state partitions of the checkpoint.
+    """
+    once = F.when(F.col("is_valid"), F.col(key)).otherwise(F.expr("uuid()"))
+    return cleaned.withColumn("__once", once).dropDuplicates(["__once"]).drop("__once")
+
+
 @dataclass
 class SinkWriter:
     """The foreachBatch function of a ``RoutedSink``.
@@ -73,13 +90,19 @@ def start_stream(
     rules: Sequence[Rule] | None = None,
     lenient_int: bool = False,
 ) -> tuple[StreamingQuery, SinkWriter]:
-    """STR1, STR3, STR4: start the query; ``source`` is a folder or a raw event stream."""
+    """STR1, STR3, STR4: start the query; ``source`` is a folder or a raw event stream.
+
+    A table declared ``distinct_stream`` gets ``first_arrivals`` before it.
+    """
     raw = event_stream(spark, source, files_per_trigger=files_per_trigger) if isinstance(source, str) else source
     sink.prepare(spark)
     writer = SinkWriter(sink)
     if stream_id is not None:
         writer.stream_id.set_result(stream_id)
-    pending = routed_writer(clean_events(raw, rules, lenient_int=lenient_int, stamp=False), writer, checkpoint)
+    cleaned = clean_events(raw, rules, lenient_int=lenient_int, stamp=False)
+    if getattr(sink.table, "distinct_stream", False):
+        cleaned = first_arrivals(cleaned, sink.table.key)
+    pending = routed_writer(cleaned, writer, checkpoint)
     pending = pending.trigger(availableNow=True) if once else pending.trigger(processingTime=interval)
     query = pending.start()
     if stream_id is None:
