@@ -204,7 +204,7 @@ def exact_medians(spark, sf_dir):
     """Small sketch and threshold, so that the bracketing path itself is checked."""
     return grouped_quantiles(
         table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], "l_extendedprice",
-        {"median": 0.5, "p90": 0.9}, accuracy=1000, small_group=1000,
+        {"median": 0.5, "p90": 0.9}, accuracy=1000,
     )
 
 
@@ -219,7 +219,7 @@ FROM orders""",
 def global_quartiles(spark, sf_dir):
     quartiles = grouped_quantiles(
         table(spark, sf_dir, "orders"), [], "o_totalprice", {"q1": 0.25, "median": 0.5, "q3": 0.75},
-        method="cont", accuracy=1000, small_group=1000,
+        method="cont", accuracy=1000,
     )
     return rounded(quartiles, 4, "q1", "median", "q3")
 
@@ -245,7 +245,7 @@ _BOX = ["q1", "median", "q3", "whisker_low", "whisker_high"]
 
 @register("box_stats_events", "AGG12", _box_sql("points AS (SELECT event_type, value FROM events),", "event_type", "value"))
 def box_stats_events(spark, sf_dir):
-    boxes = box_stats(table(spark, sf_dir, "events"), "event_type", "value", accuracy=1000, small_group=500)
+    boxes = box_stats(table(spark, sf_dir, "events"), "event_type", "value", accuracy=1000)
     return rounded(boxes.withColumnRenamed("event_type", "category"), 6, *_BOX)
 
 

@@ -11,9 +11,11 @@ rows outside the brackets are counted, the few inside are ranked exactly:
    they are, values between brackets collapse into one counted row per gap;
 3. a running count over what is left of each group.
 
-With the default ``accuracy`` step 3 sees about 1/8000 of a large group per
-probability, and never more than ``small_group`` distinct values of a small
-one.  A sketch that missed its rank raises instead of giving a wrong value.
+A bracket reaches four sketch errors (4/``accuracy`` of the group) to either
+side, so with the default accuracy step 3 sees under 1/10000 of a large group
+per probability.  A group of up to ``accuracy`` (or ``small_group``, if that is
+more) values is ranked whole.  A sketch that missed its rank raises instead of
+giving a wrong value.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ def grouped_quantiles(
     *,
     method: str = DISCRETE,
     accuracy: int = 100_000,
-    small_group: int = 100_000,
+    small_group: int = 0,
     salts: int = 16,
     carry: dict[str, Column] | None = None,
     few_groups: bool = False,
@@ -65,6 +67,9 @@ def grouped_quantiles(
     measured = df.withColumn(_V, F.col(value).cast("double"))
     slim = measured.select(*keys, _V)
 
+    # From this size on a bracket spans four ranks and more to either side,
+    # which covers the neighbour that interpolation needs.
+    small_group = max(small_group, accuracy)
     margin = 4.0 / accuracy
     wanted = [min(1.0, max(0.0, p + side * margin)) for p in probabilities for side in (-1, 1)]
     sketch = F.percentile_approx(_V, wanted, accuracy)
