@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from registered.book import register
-from registered.frames import BATCH_LOGS_SQL, batch_logs, raw_events, table
+from registered.frames import BATCH_LOGS_SQL, TYPED_EVENTS_SQL, batch_logs, raw_events, table
 from sievewell.functions import expressions as X
 from sievewell.operators import runs as R
 from sievewell.operators import validation as V
@@ -13,6 +13,7 @@ from sievewell.plans.performance import run_report
 from sievewell.plans.scratch import scratch_path
 from sievewell.schemas import COUNTS_SCHEMA, PROGRESS_SCHEMA
 from sievewell.sources.readers import read_log_csv, read_reject_csv
+from sievewell.streaming.sink import partition_counts
 
 EVENT_GAP, LOG_GAP = 1800, 6000
 
@@ -219,9 +220,12 @@ def reject_file_scan(spark, sf_dir):
 @register(
     "partition_outcomes",
     "SNK4 AGG7",
+    f"""
+WITH {TYPED_EVENTS_SQL}
+SELECT count(*) AS received, count(*) FILTER (validation_reason IS NULL) AS valid,
+       count(*) FILTER (validation_reason IS NOT NULL) AS rejected FROM flagged""",
 )
 def partition_outcomes(spark, sf_dir):
-    """Counts per partition of a cleaned batch; how rows fall into partitions is Spark's choice."""
-    from sievewell.streaming.sink import partition_counts
-
-    return partition_counts(V.clean_events(raw_events(spark, sf_dir)))
+    """Counts per partition of a cleaned batch, added up: how rows fall into partitions is Spark's choice."""
+    parts = partition_counts(V.clean_events(raw_events(spark, sf_dir)))
+    return parts.agg(*[F.sum(c).alias(c) for c in ("received", "valid", "rejected")])

@@ -17,6 +17,7 @@ from sievewell.streaming.runner import run_stream
 from sievewell.streaming.sink import RoutedSink, read_counts, read_rejects
 
 FILES = 4
+STATE_PARTITIONS = 4
 
 _STRICT = f"""
 {TYPED_EVENTS_SQL},
@@ -36,7 +37,8 @@ def drained(spark, sf_dir, times: int = 1, distinct_stream: bool = False):
     source, sink = staged_event_csv(spark, sf_dir, files=FILES), new_sink(spark, distinct_stream)
     for _ in range(times):
         query, _writer = run_stream(
-            spark, source, sink, scratch_path(spark, "checkpoint"), once=True, rules=V.contract_rules()
+            spark, source, sink, scratch_path(spark, "checkpoint"), once=True, rules=V.contract_rules(),
+            state_partitions=STATE_PARTITIONS if distinct_stream else None,
         )
     return sink, query
 

@@ -33,7 +33,7 @@ def register_rank_label(spark: SparkSession, name: str = "rank_label") -> None:
 
 
 def by(column: str, ascending: bool = False) -> Column:
-    """SRT1: sort key with NULLs last in either direction."""
+    """SRT1: sort key with NULLs last in either direction (SRT2, plain sorts, need no helper)."""
     return F.col(column).asc_nulls_last() if ascending else F.col(column).desc_nulls_last()
 
 

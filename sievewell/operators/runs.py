@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from sievewell.functions import expressions as X
 from sievewell.operators.charts import long_series
-from sievewell.operators.summaries import tally
 from sievewell.plans.skew import salted_lookup
 
 # Fixed value: a longer pause between two batches starts a new run.
@@ -196,8 +195,15 @@ def run_reasons(
     batch: str = "batch_id",
     reason: str = "validation_reason",
 ) -> DataFrame:
-    """PRF3: reject reasons of the given batches, by reason."""
-    return tally(of_batches(rejects, recent, keys, batch), reason)
+    """PRF3: reject reasons of the given batches, by reason.
+
+    Rejects are counted per batch and reason first, so the join and what
+    follows see a few rows per batch however many were rejected.
+    """
+    ids = [*keys, batch]
+    per_batch = rejects.groupBy(*ids, reason).agg(F.count(reason).alias("__n"))
+    kept = of_batches(per_batch, recent, keys, batch)
+    return kept.groupBy(reason).agg(F.sum("__n").alias("n")).filter(F.col("n") > 0).orderBy(reason)
 
 
 def outcome_series(counts: DataFrame, ids: Sequence[str] = ("stream_id", "batch_id")) -> DataFrame:

@@ -30,6 +30,10 @@ PLACEHOLDERS = ("No Data", "")
 RELEASED = "Released"
 MIN_POPULATED = 10
 
+# What the two preset searches look for.
+SEARCH_GENRES, SEARCH_ACTOR = ("Science Fiction", "Action"), "Bruce Willis"
+SEARCH_DIRECTOR, SEARCH_LEAD = "Quentin Tarantino", "Uma Thurman"
+
 
 def shape_records(raw: DataFrame) -> DataFrame:
     """Row-local part of the cleaning: flatten, type, null out, derive."""
@@ -140,10 +144,10 @@ def yearly_trends(df: DataFrame) -> DataFrame:
 def run_batch(
     raw: DataFrame,
     *,
-    genres: Sequence[str] = ("Science Fiction", "Action"),
-    actor: str = "Bruce Willis",
-    director: str = "Quentin Tarantino",
-    lead: str = "Uma Thurman",
+    genres: Sequence[str] = SEARCH_GENRES,
+    actor: str = SEARCH_ACTOR,
+    director: str = SEARCH_DIRECTOR,
+    lead: str = SEARCH_LEAD,
     clean: DataFrame | None = None,
 ) -> Mapping[str, DataFrame]:
     """Every batch result by name, lazily; ``clean`` reuses a cached clean table.

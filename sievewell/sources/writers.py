@@ -15,7 +15,7 @@ SECTION_ROWS = 10
 
 
 def write_single_csv(df: DataFrame, folder: str) -> str:
-    """SNK1: one CSV file with a header, as the only part file of ``folder``.
+    """SNK1/CTL2: one CSV file with a header, as the only part file of ``folder``.
 
     One task writes it, so this is for small results; large ones belong in
     ``write_table``.

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from concurrent.futures import Future
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,9 +43,7 @@ def first_arrivals(cleaned: DataFrame, key: str = "event_id") -> DataFrame:
     large the table has grown.  Repeats do not reach the sink; a batch's
     ``received`` is then what arrived for the first time, and the progress
     log's ``num_input_rows`` is what was read.  Use the RocksDB provider
-    (``spark.sql.streaming.stateStore.providerClass``) for large key sets, and
-    fix ``spark.sql.shuffle.partitions`` before the first start: it sets the
-    number of state partitions of the checkpoint.
+    (``spark.sql.streaming.stateStore.providerClass``) for large key sets.
     """
     once = F.when(F.col("is_valid"), F.col(key)).otherwise(F.expr("uuid()"))
     return cleaned.withColumn("__once", once).dropDuplicates(["__once"]).drop("__once")
@@ -89,10 +88,13 @@ def start_stream(
     files_per_trigger: int | None = FILES_PER_TRIGGER,
     rules: Sequence[Rule] | None = None,
     lenient_int: bool = False,
+    state_partitions: int | None = None,
 ) -> tuple[StreamingQuery, SinkWriter]:
     """STR1, STR3, STR4: start the query; ``source`` is a folder or a raw event stream.
 
-    A table declared ``distinct_stream`` gets ``first_arrivals`` before it.
+    A table declared ``distinct_stream`` gets ``first_arrivals`` before it, its
+    state in ``state_partitions`` parts (default: the session's shuffle
+    partitions; a checkpoint keeps the number it was started with).
     """
     raw = event_stream(spark, source, files_per_trigger=files_per_trigger) if isinstance(source, str) else source
     sink.prepare(spark)
@@ -104,12 +106,26 @@ def start_stream(
         cleaned = first_arrivals(cleaned, sink.table.key)
     pending = routed_writer(cleaned, writer, checkpoint)
     pending = pending.trigger(availableNow=True) if once else pending.trigger(processingTime=interval)
-    query = pending.start()
+    with _shuffle_partitions(spark, state_partitions):
+        query = pending.start()
     if stream_id is None:
         writer.stream_id.set_result(str(query.id))
     return query, writer
 
 
+@contextmanager
+def _shuffle_partitions(spark: SparkSession, count: int | None) -> Iterator[None]:
+    """A starting query takes the setting with it; the session gets its own back."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    try:
+        if count is not None:
+            spark.conf.set(name, str(count))
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def run_stream(
     spark: SparkSession,
     source: str | DataFrame,

@@ -1,4 +1,7 @@
-"""The validity-routed micro-batch sink: SNK3, SNK4, SNK6, SNK7, FLT9, FLT10, AGG7, STR9."""
+"""The validity-routed micro-batch sink: SNK3, SNK4, SNK6, SNK7, FLT9, FLT10, AGG7, STR9, UDF2.
+
+Rows stay in DataFrames up to the writer: no per-partition Python function.
+"""
 
 from __future__ import annotations
 
