@@ -10,7 +10,7 @@ from sievewell.functions import expressions as X
 from sievewell.operators import runs as R
 from sievewell.operators import validation as V
 from sievewell.plans.performance import run_report
-from sievewell.plans.scratch import scratch_path
+from sievewell.plans.scratch import materialized, scratch_path
 from sievewell.schemas import COUNTS_SCHEMA, PROGRESS_SCHEMA
 from sievewell.sources.readers import read_log_csv, read_reject_csv
 from sievewell.streaming.sink import partition_counts
@@ -68,8 +68,12 @@ _DETAIL = "stream_id, batch_id, received, inserted, rejected, batch_duration_ms:
 
 
 def _logs(spark, sf_dir):
-    """(progress, counts, rejects) in the form the report takes."""
-    logs = batch_logs(spark, sf_dir)
+    """(progress, counts, rejects) in the form the report takes.
+
+    Logs are tables at rest, so the derived ones are written first: the events
+    are aggregated once, and the report works on a row per batch.
+    """
+    logs = materialized(batch_logs(spark, sf_dir), "batch-logs")
     progress = logs.select(
         "stream_id", "batch_id", "timestamp", "num_input_rows", "processed_rows_per_second", "batch_duration_ms"
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievewell.functions.quantiles import LINEAR, grouped_quantiles
+from sievewell.operators.summaries import keep_complete
 from sievewell.plans.skew import salted_lookup
 
 # Fixed value: whisker reach in interquartile ranges.
@@ -28,7 +29,7 @@ def box_stats(
     of the box, or at the box itself when there is none beyond it.  NULL and
     NaN values are left out; a category without values does not appear.
     """
-    points = df.select(category, F.col(value).cast("double").alias("__x")).dropna(subset=["__x"])
+    points = keep_complete(df.select(category, F.col(value).cast("double").alias("__x")), ["__x"])
     quartiles = grouped_quantiles(
         points,
         [category],

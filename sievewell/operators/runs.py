@@ -126,6 +126,26 @@ def batch_detail(
     )
 
 
+def with_rows_read(
+    counts: DataFrame, progress: DataFrame, keys: Sequence[str] = ("stream_id",), batch: str = "batch_id"
+) -> DataFrame:
+    """Counts with ``received`` as the rows the query read, and ``repeats`` among them.
+
+    For streams that keep repeated keys from the sink by state; a batch absent
+    from the progress log keeps its own count.
+    """
+    ids = [*keys, batch]
+    read = F.coalesce("num_input_rows", "received")
+    joined = counts.join(progress.select(*ids, "num_input_rows"), ids, "left")
+    return joined.select(
+        *ids,
+        read.alias("received"),
+        "inserted",
+        "rejected",
+        (read - F.col("inserted") - F.col("rejected")).alias("repeats"),
+    )
+
+
 def count_summary(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """AGG8: totals, batches and mean received per batch, with shares of the total."""
     totals = counts.groupBy(*keys).agg(

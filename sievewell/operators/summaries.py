@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievewell.functions.quantiles import grouped_quantiles
@@ -121,6 +122,13 @@ def with_row_total(df: DataFrame, name: str = "total") -> DataFrame:
     return df.withColumn(name, df.agg(F.count(F.lit(1))).scalar())
 
 
+def usable_number(column: str, spark_type: str) -> Column:
+    """Neither NULL nor NaN, in a form whose NULL test reaches the scan."""
+    known = F.col(column).isNotNull()
+    return known & ~F.isnan(column) if spark_type in ("double", "float") else known
+
+
 def keep_complete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """FLT8: rows with a usable number (neither NULL nor NaN) in every column."""
-    return df.dropna(subset=list(columns))
+    """FLT8: rows with a usable value in every column (``dropna``, but pushed down)."""
+    kinds = dict(df.dtypes)
+    return df.filter(reduce(lambda a, b: a & b, [usable_number(c, kinds[c]) for c in columns]))

@@ -56,6 +56,11 @@ def batch_folder(path: str, stream_id: str, batch_id: int) -> str:
     return f"{path}/stream_id={check_stream_id(stream_id)}/batch_id={batch_id}"
 
 
+def files_for(rows: int, rows_per_file: int) -> int:
+    """Number of files for a counted number of rows."""
+    return max(1, -(-rows // rows_per_file))
+
+
 def unseen(rows: DataFrame, stored: DataFrame, key: str, facts: BatchFacts, broadcast_limit: int) -> DataFrame:
     """DED2/JON7: rows whose key is not stored.
 
@@ -82,8 +87,8 @@ class KeyedParquetTable:
     the same events under another stream id (a lost checkpoint) add nothing.
     ``stored_filter`` may restrict which stored rows can hold a repeated key
     (say, the last week), which bounds the read for keys without time order.
-    A batch counted to be within ``one_file_limit`` rows is written by one
-    task, without a shuffle.
+    A batch is written as one file per ``rows_per_file`` counted rows, so that
+    small batches do not leave many files (nor need a shuffle).
 
     ``distinct_stream`` says that a stream never hands over a key twice (see
     ``runner.first_arrivals``).  Only rows of other streams are then compared,
@@ -96,7 +101,7 @@ class KeyedParquetTable:
     schema: T.StructType = field(default_factory=lambda: schemas.SINK_SCHEMA)
     prefer: Sequence[str] = ("event_time",)
     broadcast_limit: int = 1_000_000
-    one_file_limit: int = 50_000
+    rows_per_file: int = 250_000
     stored_filter: Column | None = None
     distinct_stream: bool = False
     _elsewhere: dict[str, DataFrame | None] = field(default_factory=dict, repr=False, compare=False)
@@ -117,10 +122,13 @@ class KeyedParquetTable:
         if stored is not None and self.stored_filter is not None:
             stored = stored.filter(self.stored_filter)
         new = rows if stored is None else unseen(rows, stored, self.key, facts, self.broadcast_limit)
-        if facts.valid <= self.one_file_limit:
-            new = new.coalesce(1)
-        if not self.distinct_stream:
-            new = one_per_key(new, self.key, self._survivor_order())
+        files = files_for(facts.valid, self.rows_per_file)
+        if self.distinct_stream:
+            new = new.coalesce(files)
+        else:
+            # With one partition the window needs no shuffle; with more, the
+            # adaptive shuffle sizes the files.
+            new = one_per_key(new.coalesce(1) if files == 1 else new, self.key, self._survivor_order())
         folder = batch_folder(self.path, facts.stream_id, facts.batch_id)
         to_sink_row(new, self.schema).write.mode("overwrite").parquet(folder)
         # Row counts come from the file footers.

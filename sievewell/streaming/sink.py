@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from sievewell import schemas
 from sievewell.operators.validation import first_failure, sink_rules, split_valid
 from sievewell.plans.scratch import cached
-from sievewell.streaming.keyed_table import BatchFacts, batch_folder
+from sievewell.streaming.keyed_table import BatchFacts, batch_folder, files_for
 
 REASON = "validation_reason"
 
@@ -62,6 +62,7 @@ class RoutedSink:
     counts_path: str
     event_types: tuple[str, ...] = schemas.EVENT_TYPES
     check_contract: bool = True
+    rows_per_file: int = 250_000
 
     def prepare(self, spark: SparkSession) -> None:
         self.table.prepare(spark)
@@ -80,7 +81,8 @@ class RoutedSink:
             # literal that changes from batch to batch (and needs no new code).
             stamped = rows if "processing_time" in rows.columns else rows.withColumn("processing_time", F.current_timestamp())
             valid, invalid = split_valid(stamped)
-            rejecting = self._start_rejects(invalid, facts) if outcome.rejected else None
+            files = files_for(outcome.rejected, self.rows_per_file)
+            rejecting = self._start_rejects(invalid.coalesce(files), facts) if outcome.rejected else None
             try:
                 inserted = self.table.insert_new(valid, facts) if facts.valid else 0
             finally:
