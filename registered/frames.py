@@ -17,8 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def whole(column: str, factor: int = 1):
-    """A decimal amount in whole units of 1/factor."""
-    return F.round(F.col(column) * F.lit(float(factor))).cast("bigint")
+    """A non-negative decimal amount in whole units of 1/factor.
+
+    ``floor(x + 0.5)`` stays in primitive arithmetic; ``round`` on a double
+    goes through a decimal object per row.
+    """
+    return F.floor(F.col(column) * F.lit(float(factor)) + F.lit(0.5))
 
 
 # --- films: parts with their sales, in the shape of the clean table -------------------

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sievewell import schemas
 from sievewell.operators.cleaning import one_per_key
+from sievewell.plans.scratch import cached
 from sievewell.sources.readers import read_jdbc, read_keyed_table
 
 _SAFE_ID = re.compile(r"[A-Za-z0-9_.-]+")
@@ -115,8 +116,11 @@ class KeyedParquetTable:
     def read(self, spark: SparkSession) -> DataFrame:
         return read_keyed_table(spark, self.path, self.schema)
 
-    def insert_new(self, rows: DataFrame, facts: BatchFacts) -> int:
-        """Store the rows with new keys as the batch's partition; how many that were."""
+    def plan_insert(self, rows: DataFrame, facts: BatchFacts) -> Callable[[], int]:
+        """SNK5: an insert of the rows with new keys as the batch's partition.
+
+        Calling it writes and returns how many rows that were.
+        """
         spark = rows.sparkSession
         stored = self._of_other_streams(spark, facts) if self.distinct_stream else self._of_other_batches(spark, facts)
         if stored is not None and self.stored_filter is not None:
@@ -129,10 +133,16 @@ class KeyedParquetTable:
             # With one partition the window needs no shuffle; with more, the
             # adaptive shuffle sizes the files.
             new = one_per_key(new.coalesce(1) if files == 1 else new, self.key, self._survivor_order())
+        written = Observation()
+        shaped = to_sink_row(new, self.schema).observe(written, F.count(F.lit(1)).alias("n"))
         folder = batch_folder(self.path, facts.stream_id, facts.batch_id)
-        to_sink_row(new, self.schema).write.mode("overwrite").parquet(folder)
-        # Row counts come from the file footers.
-        return spark.read.schema(self.schema).parquet(folder).count()
+
+        def insert() -> int:
+            shaped.write.mode("overwrite").parquet(folder)
+            # Counted in the writing tasks themselves.
+            return written.get["n"]
+
+        return insert
 
     def _of_other_batches(self, spark: SparkSession, facts: BatchFacts) -> DataFrame:
         stream = check_stream_id(facts.stream_id)
@@ -176,20 +186,21 @@ class JdbcTable:
     def writer_options(self) -> dict[str, str]:
         return {"url": self.url, "dbtable": self.table, "batchsize": str(self.batch_size), **self.options}
 
-    def insert_new(self, rows: DataFrame, facts: BatchFacts) -> int:
+    def plan_insert(self, rows: DataFrame, facts: BatchFacts) -> Callable[[], int]:
         spark = rows.sparkSession
         # ingested_at is left to the table's own default.
         columns = T.StructType([f for f in self.schema.fields if f.name != "ingested_at"])
         order = [*self.prefer, *[c for c in columns.fieldNames() if c not in (self.key, *self.prefer)]]
         unstored = unseen(rows, self.read(spark), self.key, facts, self.broadcast_limit)
         new = to_sink_row(one_per_key(unstored, self.key, order), columns)
-        # Counted and written from the same rows: a second key check after the
-        # write would find every key stored.
-        new.persist()
-        try:
-            inserted = new.count()
-            if inserted:
-                new.write.format("jdbc").options(**self.writer_options()).mode("append").save()
+
+        def insert() -> int:
+            # Counted and written from the same rows: a second key check after
+            # the write would find every key stored.
+            with cached(new) as rows_to_add:
+                inserted = rows_to_add.count()
+                if inserted:
+                    rows_to_add.write.format("jdbc").options(**self.writer_options()).mode("append").save()
             return inserted
-        finally:
-            new.unpersist()
+
+        return insert

@@ -29,7 +29,7 @@ class KeyedTable(Protocol):
 
     def prepare(self, spark: SparkSession) -> None: ...
 
-    def insert_new(self, rows: DataFrame, facts: BatchFacts) -> int: ...
+    def plan_insert(self, rows: DataFrame, facts: BatchFacts) -> Callable[[], int]: ...
 
 
 class ContractViolation(ValueError):
@@ -81,10 +81,11 @@ class RoutedSink:
             # literal that changes from batch to batch (and needs no new code).
             stamped = rows if "processing_time" in rows.columns else rows.withColumn("processing_time", F.current_timestamp())
             valid, invalid = split_valid(stamped)
+            insert = self.table.plan_insert(valid, facts) if facts.valid else None
             files = files_for(outcome.rejected, self.rows_per_file)
             rejecting = self._start_rejects(invalid.coalesce(files), facts) if outcome.rejected else None
             try:
-                inserted = self.table.insert_new(valid, facts) if facts.valid else 0
+                inserted = insert() if insert else 0
             finally:
                 if rejecting is not None:
                     rejecting()

@@ -223,7 +223,7 @@ def test_database_table_writes_unseen_rows_only(spark, event_frame, monkeypatch)
 
     monkeypatch.setattr(DataFrameWriter, "save", fake_save)
     rows = V.clean_events(event_frame(event(event_id="a"), event(event_id="a"), event(event_id="b"), event(event_id="c")))
-    assert table.insert_new(rows, BatchFacts("s", 0, 4, "a", "c")) == 2
+    assert table.plan_insert(rows, BatchFacts("s", 0, 4, "a", "c"))() == 2
     assert sorted(r.event_id for r in written) == ["a", "c"]
     assert tuple(written[0].asDict()) == schemas.SINK_COLUMNS
     assert table.writer_options() == {"url": "jdbc:none:", "dbtable": "events", "batchsize": "1000", "user": "u"}
