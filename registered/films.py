@@ -19,6 +19,11 @@ MIN_BUDGET, MIN_VOTES = 1.0, 30
 
 
 def rounded(df, digits: int, *columns: str):
+    """Rounded where sums of doubles depend on the order of addition.
+
+    Totals are whole 1e-8ths, so 8 digits cannot fall on a half; means get few
+    enough digits that a half is next to impossible.
+    """
     return df.withColumns({c: F.round(F.col(c), digits) for c in columns})
 
 
@@ -127,14 +132,13 @@ def search_exact(spark, sf_dir):
 WITH {FILMS_SQL}
 SELECT belongs_to_collection IS NOT NULL AS is_franchise,
        round(avg(revenue_musd), 6) AS mean_revenue_musd, quantile_disc(roi, 0.5) AS median_roi,
-       round(avg(budget_musd), 6) AS mean_budget_musd, round(avg(popularity), 6) AS mean_popularity,
+       round(avg(budget_musd), 6) AS mean_budget_musd, round(avg(popularity), 2) AS mean_popularity,
        round(avg(vote_average), 6) AS mean_rating
 FROM films GROUP BY ALL""",
 )
 def compare_groups(spark, sf_dir):
-    return rounded(
-        P.compare_franchise(films(spark, sf_dir)), 6, "mean_revenue_musd", "mean_budget_musd", "mean_popularity", "mean_rating"
-    )
+    compared = rounded(P.compare_franchise(films(spark, sf_dir)), 6, "mean_revenue_musd", "mean_budget_musd", "mean_rating")
+    return rounded(compared, 2, "mean_popularity")
 
 
 @register(
@@ -158,16 +162,14 @@ def compare_groups_sketched(spark, sf_dir):
     "AGG3 FLT7 SRT1",
     f"""
 WITH {FILMS_SQL}
-SELECT belongs_to_collection, count(id) AS movie_count, round(sum(budget_musd), 6) AS total_budget_musd,
-       round(avg(budget_musd), 6) AS mean_budget_musd, round(sum(revenue_musd), 6) AS total_revenue_musd,
-       round(avg(revenue_musd), 6) AS mean_revenue_musd, round(avg(vote_average), 6) AS mean_rating
+SELECT belongs_to_collection, count(id) AS movie_count, round(sum(budget_musd), 8) AS total_budget_musd,
+       round(avg(budget_musd), 5) AS mean_budget_musd, round(sum(revenue_musd), 8) AS total_revenue_musd,
+       round(avg(revenue_musd), 5) AS mean_revenue_musd, round(avg(vote_average), 5) AS mean_rating
 FROM films WHERE belongs_to_collection IS NOT NULL GROUP BY ALL""",
 )
 def group_summary(spark, sf_dir):
-    summary = P.franchise_summary(films(spark, sf_dir))
-    return rounded(
-        summary, 6, "total_budget_musd", "mean_budget_musd", "total_revenue_musd", "mean_revenue_musd", "mean_rating"
-    )
+    summary = rounded(P.franchise_summary(films(spark, sf_dir)), 8, "total_budget_musd", "total_revenue_musd")
+    return rounded(summary, 5, "mean_budget_musd", "mean_revenue_musd", "mean_rating")
 
 
 @register(
@@ -175,26 +177,26 @@ def group_summary(spark, sf_dir):
     "AGG4 FLT7 SRT1",
     f"""
 WITH {FILMS_SQL}
-SELECT director, count(id) AS movie_count, round(sum(revenue_musd), 6) AS total_revenue_musd,
+SELECT director, count(id) AS movie_count, round(sum(revenue_musd), 8) AS total_revenue_musd,
        round(avg(vote_average), 6) AS mean_rating
 FROM films WHERE director IS NOT NULL GROUP BY ALL""",
 )
 def entity_summary(spark, sf_dir):
-    return rounded(P.director_summary(films(spark, sf_dir)), 6, "total_revenue_musd", "mean_rating")
+    return rounded(rounded(P.director_summary(films(spark, sf_dir)), 8, "total_revenue_musd"), 6, "mean_rating")
 
 
 @register(
     "yearly_orders",
     "AGG5 PRJ23 FLT7 SRT2",
     """
-SELECT year(o_orderdate)::INTEGER AS order_year, count(o_orderkey) AS orders, round(avg(o_totalprice), 4) AS mean_total
+SELECT year(o_orderdate)::INTEGER AS order_year, count(o_orderkey) AS orders, round(avg(o_totalprice), 2) AS mean_total
 FROM orders GROUP BY ALL""",
 )
 def yearly_orders(spark, sf_dir):
     yearly = S.summarize_years(
         table(spark, sf_dir, "orders"), "o_orderdate", count=("orders", "o_orderkey"), means={"mean_total": "o_totalprice"}, year="order_year"
     )
-    return rounded(yearly, 4, "mean_total")
+    return rounded(yearly, 2, "mean_total")
 
 
 # --- quantiles ------------------------------------------------------------------------------------
@@ -353,7 +355,7 @@ bars AS (
          avg(popularity) AS mean_popularity, avg(vote_average) AS mean_rating
   FROM films GROUP BY ALL
 )
-SELECT label, metric, round(value, 6) AS value
+SELECT label, metric, round(value, 2) AS value
 FROM bars UNPIVOT (value FOR metric IN (mean_revenue_musd, mean_budget_musd, mean_popularity, mean_rating))""",
 )
 def chart_group_bars(spark, sf_dir):
@@ -361,7 +363,7 @@ def chart_group_bars(spark, sf_dir):
     bars = CH.labelled_bars(
         comparison, "is_franchise", ["mean_revenue_musd", "mean_budget_musd", "mean_popularity", "mean_rating"], "Franchise", "Standalone"
     )
-    return rounded(bars, 6, "value")
+    return rounded(bars, 2, "value")
 
 
 @register(

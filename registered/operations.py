@@ -103,7 +103,7 @@ placed AS (
 SELECT stream_id, count(*) AS batches, sum(received)::BIGINT AS received, sum(inserted)::BIGINT AS inserted,
        sum(rejected)::BIGINT AS rejected, sum(received)::DOUBLE / count(*) AS mean_received,
        sum(inserted)::DOUBLE / sum(received)::DOUBLE AS inserted_share, sum(rejected)::DOUBLE / sum(received)::DOUBLE AS rejected_share,
-       round(avg(batch_duration_ms::DOUBLE / 1e3) FILTER (place > 1 OR n = 1), 6) AS mean_latency_s,
+       round(avg(batch_duration_ms::DOUBLE / 1e3) FILTER (place > 1 OR n = 1), 3) AS mean_latency_s,
        min(batch_duration_ms::DOUBLE / 1e3) FILTER (place > 1 OR n = 1) AS min_latency_s,
        max(batch_duration_ms::DOUBLE / 1e3) FILTER (place > 1 OR n = 1) AS max_latency_s,
        round(coalesce(avg(processed_rows_per_second) FILTER (place > 1), 0), 6) AS mean_rows_per_second
@@ -111,7 +111,7 @@ FROM placed GROUP BY stream_id""",
 )
 def run_summary(spark, sf_dir):
     return _report(spark, sf_dir, "summary").withColumns(
-        {c: F.round(c, 6) for c in ("mean_latency_s", "mean_rows_per_second")}
+        {"mean_latency_s": F.round("mean_latency_s", 3), "mean_rows_per_second": F.round("mean_rows_per_second", 6)}
     )
 
 
@@ -206,7 +206,7 @@ def reject_file_scan(spark, sf_dir):
         table(spark, sf_dir, "events").filter(F.col("event_type") == "error").select("event_id", (F.col("event_id") % 7).alias("b"))
     )
     staged, final = scratch_path(spark, "rejects-staged"), scratch_path(spark, "rejects")
-    rejected.repartition("b").write.partitionBy("b").option("header", True).csv(staged)
+    rejected.write.partitionBy("b").option("header", True).csv(staged)
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     at = jvm.org.apache.hadoop.fs.Path
     fs = at(staged).getFileSystem(conf)
