@@ -15,7 +15,7 @@ from sievewell.operators.boxstats import box_stats
 from sievewell.plans import films as P
 from sievewell.sources.writers import report_bundle, section
 
-MIN_BUDGET, MIN_VOTES = 1.0, 30
+MIN_BUDGET, MIN_VOTES = 0.7, 30
 
 
 def rounded(df, digits: int, *columns: str):
