@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sievewell.llm import ledger
 from sievewell.llm.ledger import query, table
+from sievewell.llm.minhash import Likeness, near_duplicates
 from sievewell.llm.url_cascade import Rule, judge_urls
 from sievewell.llm.wu_manber import find_contamination
 
@@ -71,12 +72,37 @@ FROM d LEFT JOIN covered ON d.doc_id = covered.doc_id LEFT JOIN items ON d.doc_i
 """
 
 
+NEAR_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS sh
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM w WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s a JOIN s b USING (sh) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM pairs JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * shared >= 85 * (p.n + q.n - shared)
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM w UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+), least AS (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x)
+SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, w.doc_id = component_id AS kept
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id JOIN least ON w.doc_id = least.doc_id
+"""
+
+
 @query("op1_url_filters", URL_SQL)
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_urls(table(spark, sf_dir, "pages"), URL_RULES, BLOCKED_HOSTS)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+@query("op3_minhash_near_dedup", NEAR_SQL)
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), Likeness(words=3, percent=85))
+
+
 @query("op8_benchmark_decontamination", CONTAMINATION_SQL)
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
