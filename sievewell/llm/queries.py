@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sievewell.llm import ledger
 from sievewell.llm.ledger import query, table
 from sievewell.llm.minhash import Likeness, near_duplicates
+from sievewell.llm.toxicity import judge_toxicity
 from sievewell.llm.url_cascade import Rule, judge_urls
 from sievewell.llm.wu_manber import find_contamination
 
@@ -108,6 +109,11 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, ledger.Query]:
     return dict(ledger.runs)
 
