@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sievewell.llm import ledger
+from sievewell.llm.factorisation import judge_quality
 from sievewell.llm.ledger import query, table
 from sievewell.llm.minhash import Likeness, near_duplicates
 from sievewell.llm.toxicity import judge_toxicity
@@ -109,6 +110,11 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op6_quality_classifier")
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op10_toxicity")
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -21,8 +21,8 @@ def share_of(rows: DataFrame, key: str, most: int) -> DataFrame:
     return rows.where(F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(_PARTS)) < int(_PARTS * most / total))
 
 
-def labelled_texts(documents: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, most: int, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, text, label) of about ``most`` labelled documents outside the held-out fold.
+def labelled_texts(documents: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, most: int, doc_id: str, text: str, *more: Column) -> DataFrame:
+    """(doc_id, text, ``more``, label) of about ``most`` labelled documents outside the held-out fold.
 
     A document labelled more than once has its largest label; NULL ids and
     labels are no labels.
@@ -30,6 +30,6 @@ def labelled_texts(documents: DataFrame, labels: DataFrame, label: str, folds: i
     rows = labels.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("label")).dropna()
     rows = share_of(rows.where(fold(F.col("doc_id"), folds) != held_out), "doc_id", most)
     picked = rows.groupBy("doc_id").agg(F.max("label").alias("label"))
-    texts = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    texts = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), *more)
     # About ``most`` rows of two numbers at the most.
     return texts.join(F.broadcast(picked), "doc_id")
