@@ -8,6 +8,7 @@ from sievewell.llm import ledger
 from sievewell.llm.factorisation import judge_quality
 from sievewell.llm.ledger import query, table
 from sievewell.llm.minhash import Likeness, near_duplicates
+from sievewell.llm.segmentation import predict_languages
 from sievewell.llm.toxicity import judge_toxicity
 from sievewell.llm.url_cascade import Rule, judge_urls
 from sievewell.llm.wu_manber import find_contamination
@@ -110,6 +111,11 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op5_language_id")
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_languages(table(spark, sf_dir, "documents"))
+
+
 @query("op6_quality_classifier")
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
