@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sievewell.llm import ledger
 from sievewell.llm.factorisation import judge_quality
 from sievewell.llm.ledger import query, table
+from sievewell.llm.licences import KNOWN, built_in, scan_licences, sql_canonical
 from sievewell.llm.minhash import Likeness, near_duplicates
 from sievewell.llm.segmentation import predict_languages
 from sievewell.llm.toxicity import judge_toxicity
@@ -95,6 +96,19 @@ FROM w LEFT JOIN n ON w.doc_id = n.doc_id JOIN least ON w.doc_id = least.doc_id
 """
 
 
+LICENCE_SQL = f"""
+WITH known(name, text) AS (VALUES {", ".join("('" + n + "', '" + t.replace("'", "''") + "')" for n, t in KNOWN)}),
+k AS (SELECT sha256(c) AS digest, min(name) AS license FROM (SELECT name, {sql_canonical("text")} AS c FROM known) WHERE c <> '' GROUP BY 1),
+whole AS (SELECT doc_id, sha256({sql_canonical("text")}) AS digest FROM documents),
+lines AS (SELECT doc_id, sha256({sql_canonical("line")}) AS digest
+          FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents)),
+stated AS (SELECT DISTINCT doc_id, license FROM lines JOIN k USING (digest)),
+notices AS (SELECT doc_id, string_agg(license, ',' ORDER BY license) AS notices FROM stated GROUP BY doc_id)
+SELECT whole.doc_id, whole.digest, k.license, coalesce(notices, '') AS notices
+FROM whole LEFT JOIN k ON whole.digest = k.digest LEFT JOIN notices ON whole.doc_id = notices.doc_id
+"""
+
+
 @query("op1_url_filters", URL_SQL)
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_urls(table(spark, sf_dir, "pages"), URL_RULES, BLOCKED_HOSTS)
@@ -121,6 +135,11 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op9_license_scans", LICENCE_SQL)
+def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licences(table(spark, sf_dir, "documents"), built_in(spark))
+
+
 @query("op10_toxicity")
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
