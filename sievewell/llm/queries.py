@@ -9,6 +9,7 @@ from sievewell.llm.factorisation import judge_quality
 from sievewell.llm.ledger import query, table
 from sievewell.llm.licences import KNOWN, built_in, scan_licences, sql_canonical
 from sievewell.llm.minhash import Likeness, near_duplicates
+from sievewell.llm.pii import report_private
 from sievewell.llm.segmentation import predict_languages
 from sievewell.llm.toxicity import judge_toxicity
 from sievewell.llm.url_cascade import Rule, judge_urls
@@ -115,6 +116,11 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+@query("op2_pii")
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report_private(table(spark, sf_dir, "documents"))
+
+
 @query("op3_minhash_near_dedup", NEAR_SQL)
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), Likeness(words=3, percent=85))
