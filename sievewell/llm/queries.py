@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sievewell.llm import ledger
 from sievewell.llm.factorisation import judge_quality
 from sievewell.llm.ledger import query, table
 from sievewell.llm.licences import KNOWN, built_in, scan_licences, sql_canonical
 from sievewell.llm.minhash import Likeness, near_duplicates
+from sievewell.llm.mixing import mix
 from sievewell.llm.pii import report_private
 from sievewell.llm.segmentation import predict_languages
 from sievewell.llm.toxicity import judge_toxicity
@@ -131,6 +133,24 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def labelled_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, domain) of the label table."""
+    labels = table(spark, sf_dir, "labels")
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "poor").when(F.col("quality") == 1, "good")
+    return labels.select("doc_id", domain.alias("domain"))
+
+
+# Shares of all tokens wanted from each domain.
+MIX_TARGETS = {"good": 0.9, "poor": 0.07, "toxic": 0.03}
+
+
+@query("op4_mixing_sources")
+def op4_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated, classifier = mix(table(spark, sf_dir, "documents"), labelled_domains(spark, sf_dir), MIX_TARGETS)
+    shares = [F.get("p", k).alias(f"p_{d}") for k, d in enumerate(classifier.domains)]
+    return rated.select("doc_id", "tokens", *shares, "rate", "copies")
+
+
 @query("op5_language_id")
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_languages(table(spark, sf_dir, "documents"))
