@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievewell.llm import ledger
+from sievewell.llm.cross_polytope import near_vectors
 from sievewell.llm.factorisation import judge_quality
 from sievewell.llm.ledger import query, table
 from sievewell.llm.licences import KNOWN, built_in, scan_licences, sql_canonical
@@ -128,6 +129,28 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), Likeness(words=3, percent=85))
 
 
+VECTOR_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), reach AS (
+  SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+), least AS (SELECT x AS vec_id, min(y) AS component_id FROM reach GROUP BY x),
+n AS (SELECT x AS vec_id, count(*) AS n FROM links GROUP BY x)
+SELECT embeddings.vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, embeddings.vec_id = component_id AS kept
+FROM embeddings JOIN least ON embeddings.vec_id = least.vec_id LEFT JOIN n ON embeddings.vec_id = n.vec_id
+"""
+
+
+@query("op7_embedding_near_dedup", VECTOR_SQL)
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query("op8_benchmark_decontamination", CONTAMINATION_SQL)
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
