@@ -130,8 +130,8 @@ def runs(hashes: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray,
     long_enough = np.repeat(n >= width, count)
     result[long_enough] = total[inside[long_enough]]
     for d in np.flatnonzero((n > 0) & (n < width)):
-        h = np.uint64(n[d])
-        for w in out[first[d] : first[d + 1]]:
-            h = mix(np.atleast_1d(h * np.uint64(31) + w))[0]
-        result[bounds[d]] = h
+        h = np.array([n[d]], dtype=np.uint64)
+        for i in range(first[d], first[d + 1]):
+            h = mix(h * np.uint64(31) + out[i : i + 1])
+        result[bounds[d]] = h[0]
     return result, bounds
