@@ -39,11 +39,11 @@ COORDINATES = BAND_ROWS * BANDS
 KEPT = 128
 SLACK = 0.15
 #: Classes in a block; a task compares two blocks at a time.
-BLOCK = 256
+BLOCK = 1024
 #: Most ids that are broadcast to pick texts; more are joined by a shuffle.
 MOST_BROADCAST = 1_000_000
 
-_SKETCH = "key bigint, doc_id bigint, node bigint, n_shingles bigint, bands array<bigint>, kept_bytes binary"
+_SKETCH = "key bigint, doc_id bigint, node bigint, n_shingles bigint, bands array<bigint>, kept_bytes binary, tags binary"
 
 
 @dataclass(frozen=True)
@@ -100,25 +100,27 @@ def _sketches(documents: DataFrame, like: Likeness) -> DataFrame:
             for rows, texts in slices(batch):
                 sets = _sets(texts, like.words)
                 signed = [signature(s).astype(np.uint64) if len(s) else None for s in sets]
-                bands, kept = [], []
+                bands, kept, tags = [], [], []
                 for s in signed:
                     if s is None:
                         bands.append(None)
                         kept.append(None)
+                        tags.append(None)
                         continue
                     key = numbers
                     for part in s.reshape(BANDS, BAND_ROWS).T:
                         key = mix(key * np.uint64(31) + part)
                     bands.append(key.astype(np.int64))
+                    tags.append(key.astype(np.uint32).tobytes())
                     kept.append((mix(s[:KEPT]) & np.uint64(255)).astype(np.uint8).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows.column(0), rows.column(1),
                         pa.array([_node(s) if len(s) else None for s in sets], pa.int64()),
                         pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array(bands, pa.list_(pa.int64())), pa.array(kept, pa.binary()),
+                        pa.array(bands, pa.list_(pa.int64())), pa.array(kept, pa.binary()), pa.array(tags, pa.binary()),
                     ],
-                    names=["key", "doc_id", "node", "n_shingles", "bands", "kept_bytes"],
+                    names=["key", "doc_id", "node", "n_shingles", "bands", "kept_bytes", "tags"],
                 )
 
     return documents.mapInArrow(sketch, _SKETCH)
@@ -145,7 +147,8 @@ def _partners(members: DataFrame, percent: int, best_only: bool) -> DataFrame:
     """Pairs (a, b) of different components worth comparing, from blocks of buckets.
 
     ``members``: bucket, blocks (how many the bucket has), node, component,
-    n_shingles, kept_bytes.
+    n_shingles, kept_bytes, tags.  A pair that meets in several buckets is
+    given by the one of its first common band only.
     """
     least = percent / 100 - SLACK
     own = F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks"))
@@ -153,7 +156,7 @@ def _partners(members: DataFrame, percent: int, best_only: bool) -> DataFrame:
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
     paired = numbered.select("*", other.alias("other")).select(
         "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own",
-        "node", "component", "n_shingles", "kept_bytes",
+        "node", "component", "n_shingles", "kept_bytes", "tags",
     )
     dealt = paired.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "node")
 
@@ -173,7 +176,7 @@ def _partners(members: DataFrame, percent: int, best_only: bool) -> DataFrame:
         alike[(component[left][:, None] == component[right]) | small] = 0
         if not best_only:
             i, j = np.nonzero(alike >= least)
-            return left[i], right[j]
+            return first_meetings(group, left[i], right[j])
         i, j = np.arange(len(left)), alike.argmax(axis=1)
         good = alike[i, j] >= least
         pairs = [(left[i[good]], right[j[good]])]
@@ -181,7 +184,17 @@ def _partners(members: DataFrame, percent: int, best_only: bool) -> DataFrame:
             j, i = np.arange(len(right)), alike.argmax(axis=0)
             good = alike[i, j] >= least
             pairs.append((left[i[good]], right[j[good]]))
-        return tuple(np.concatenate(x) for x in zip(*pairs))
+        return first_meetings(group, *(np.concatenate(x) for x in zip(*pairs)))
+
+    def first_meetings(group: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        here = group["bucket"][:1].astype(np.uint32)
+        tags = group["tags"]
+        good = np.zeros(len(i), dtype=bool)
+        for at in range(0, len(i), 1 << 16):
+            x, y = tags[i[at : at + (1 << 16)]], tags[j[at : at + (1 << 16)]]
+            first = (x == y).argmax(axis=1)
+            good[at : at + (1 << 16)] = x[np.arange(len(x)), first] == here
+        return i[good], j[good]
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: dict[str, np.ndarray] | None = None
@@ -212,6 +225,7 @@ def _partners(members: DataFrame, percent: int, best_only: bool) -> DataFrame:
                 continue
             columns = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "low", "high", "own", "node", "component", "n_shingles")}
             columns["kept"] = np.frombuffer(b"".join(batch.column("kept_bytes").to_pylist()), dtype=np.uint8).reshape(-1, KEPT)
+            columns["tags"] = np.frombuffer(b"".join(batch.column("tags").to_pylist()), dtype=np.uint32).reshape(-1, BANDS)
             if rest is not None:
                 columns = {k: np.concatenate([rest[k], v]) for k, v in columns.items()}
             out, rest = paired_in(columns, last=False)
@@ -245,13 +259,13 @@ def near_duplicates(documents: DataFrame, like: Likeness = Likeness(), doc_id: s
     keyed = _keyed(documents, doc_id, text)
     sketched = stored(_sketches(keyed, like), "sketches")
     classes = stored(
-        sketched.where("node is not null").select("node", "key", "n_shingles", "bands", "kept_bytes").dropDuplicates(["node"]), "classes"
+        sketched.where("node is not null").select("node", "key", "n_shingles", "bands", "kept_bytes", "tags").dropDuplicates(["node"]), "classes"
     )
     placed = classes.select(F.explode("bands").alias("bucket"), "node")
     shared = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     blocks = F.ceil(F.col("size") / BLOCK).cast("bigint").alias("blocks")
     placed = stored(placed.join(shared.select("bucket", blocks), "bucket"), "buckets")
-    facts = classes.join(placed.select("node").distinct(), "node", "left_semi").select("node", "key", "n_shingles", "kept_bytes")
+    facts = classes.join(placed.select("node").distinct(), "node", "left_semi").select("node", "key", "n_shingles", "kept_bytes", "tags")
     members = stored(placed.join(facts.drop("key"), "node").withColumn("component", F.col("node")), "members")
     joined: DataFrame | None = None
     sets: DataFrame | None = None
