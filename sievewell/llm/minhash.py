@@ -245,17 +245,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return counted.where(F.lit(100) * F.col("both") >= F.lit(percent) * (F.col("sum") - F.col("both"))).select("a", "b")
 
 
-def near_duplicates(documents: DataFrame, like: Likeness = Likeness(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id and kept.
-
-    Words are runs between ASCII white space with A-Z lower-cased; a text's set
-    holds its distinct runs of ``like.words`` words, or all its words as one
-    run if it has fewer.  NULL, empty and blank texts have empty sets, link with
-    nothing and are kept.  ``component_id`` is the smallest doc_id reachable by
-    links (NULL ids are passed over), ``kept`` says whether that is the
-    document's own.  Repeated rows give repeated results; an empty table gives
-    none; other columns are left out.
-    """
+def _joined(documents: DataFrame, like: Likeness, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """The sketches of all documents, and (node, component) of linked classes."""
     keyed = _keyed(documents, doc_id, text)
     sketched = stored(_sketches(keyed, like), "sketches")
     classes = stored(
@@ -283,6 +274,21 @@ def near_duplicates(documents: DataFrame, like: Likeness = Likeness(), doc_id: s
         if joined is not None:
             links = links.union(joined.select(F.col("node").alias("a"), F.col("component").alias("b")))
         joined = components(links)
+    return sketched, joined
+
+
+def near_duplicates(documents: DataFrame, like: Likeness = Likeness(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id and kept.
+
+    Words are runs between ASCII white space with A-Z lower-cased; a text's set
+    holds its distinct runs of ``like.words`` words, or all its words as one
+    run if it has fewer.  NULL, empty and blank texts have empty sets, link with
+    nothing and are kept.  ``component_id`` is the smallest doc_id reachable by
+    links (NULL ids are passed over), ``kept`` says whether that is the
+    document's own.  Repeated rows give repeated results; an empty table gives
+    none; other columns are left out.
+    """
+    sketched, joined = _joined(documents, like, doc_id, text)
     named = sketched.select("doc_id", "node", "n_shingles")
     smallest = named.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
     grouped = smallest.join(joined, "node", "left").select("node", "least", "n", F.coalesce("component", "node").alias("component"))
@@ -291,3 +297,36 @@ def near_duplicates(documents: DataFrame, like: Likeness = Likeness(), doc_id: s
     out = salted_lookup(named, lookup, ["node"], ["doc_id"], salts=8, how="left")
     component_id = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", component_id.alias("component_id"), F.col("doc_id").eqNullSafe(component_id).alias("kept"))
+
+
+def keep_one_each(documents: DataFrame, like: Likeness = Likeness(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``documents`` with one row of each group of near-duplicates: of its smallest doc_id (NULL last), then any one.
+
+    Texts without words are no copies of each other and all stay.
+    """
+    sketched, joined = _joined(documents, like, doc_id, text)
+    rows = sketched.where("node is not null").groupBy("node", "doc_id").agg(F.count(F.lit(1)).alias("n"))
+    grouped = rows.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "node", "n")
+    first = grouped.groupBy("component").agg(F.min(order).alias("f"))
+    kept = stored(first.select(F.col("f.doc_id").alias("__id"), F.col("f.node").alias("__kept_node"), F.col("f.n").alias("__n")), "kept")
+    columns = documents.columns
+    typed = documents.select("*", F.lit(None).cast("bigint").alias("__node")).schema
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, texts in slices(batch, text):
+                nodes = pa.array([_node(s) if len(s) else None for s in _sets(texts, like.words)], pa.int64())
+                yield pa.RecordBatch.from_arrays([*part.columns, nodes], names=[*columns, "__node"])
+
+    named = documents.mapInArrow(name, typed)
+    known = kept.drop("__n")
+    if known.count() <= MOST_BROADCAST:
+        known = F.broadcast(known)
+    same = F.col(doc_id).cast("bigint").eqNullSafe(F.col("__id")) & (F.col("__node") == F.col("__kept_node"))
+    out = named.where("__node is not null").join(known, same, "left_semi")
+    doubled = kept.where("__n > 1").drop("__n")
+    if doubled.limit(1).count():
+        single = out.join(doubled, same, "left_anti")
+        out = single.union(out.join(doubled, same, "left_semi").dropDuplicates([doc_id, "__node"]))
+    return out.union(named.where("__node is null")).select(*columns)

@@ -224,6 +224,18 @@ def score_toxicity(documents: DataFrame, grammar: Grammar, doc_id: str = "doc_id
     return documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(score, _SCORE_SCHEMA)
 
 
+def drop_toxic(documents: DataFrame, grammar: Grammar, threshold: float = 0.5, text: str = "text") -> DataFrame:
+    """``documents`` without those that score ``threshold`` or more; all columns stay and nothing is shuffled."""
+    shared = documents.sparkSession.sparkContext.broadcast(grammar)
+
+    def keep(batches):
+        for batch in batches:
+            for rows, texts in slices(batch, text):
+                yield rows.filter(pa.array(shared.value.scores(shared.value.outputs(texts)) < threshold))
+
+    return documents.mapInArrow(keep, documents.schema)
+
+
 def judge_toxicity(documents: DataFrame, labels: DataFrame, folds: int = 5, threshold: float = 0.5, **columns) -> DataFrame:
     """doc_id, held_out (fold 0 of ``folds``), score and predicted (1 from ``threshold`` on) per document.
 

@@ -145,7 +145,14 @@ def _judged(patterns: Patterns, texts: list[bytes | None]) -> tuple[np.ndarray,
     return np.diff(words.first), np.diff(hit[words.first]), [sorted(s) for s in items]
 
 
-_built: dict[int, Patterns] = {}
+def _searcher(documents: DataFrame, benchmark: DataFrame, item_id: str, item_text: str, window: int):
+    """A function for tasks that gives the patterns of the benchmark, which is broadcast after a check of its size."""
+    picked = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("i"), F.col(item_text).cast("string").alias("t")).where("t is not null")
+    size = picked.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0
+    if size > MOST_BENCHMARK_BYTES:
+        raise ValueError(f"{size} bytes of benchmark text; search for at most {MOST_BENCHMARK_BYTES} at a time")
+    items = documents.sparkSession.sparkContext.broadcast([(r.i, r.t.encode()) for r in picked.collect()])
+    return lambda: Patterns(items.value, window)
 
 
 def find_contamination(
@@ -160,27 +167,41 @@ def find_contamination(
     written as an empty string.  Repeated documents give repeated rows, and
     other columns are left out.  No hit: the digest of the empty string.
     """
-    picked = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("i"), F.col(item_text).cast("string").alias("t")).where("t is not null")
-    size = picked.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0
-    if size > MOST_BENCHMARK_BYTES:
-        raise ValueError(f"{size} bytes of benchmark text; search for at most {MOST_BENCHMARK_BYTES} at a time")
-    items = documents.sparkSession.sparkContext.broadcast([(r.i, r.t.encode()) for r in picked.collect()])
+    build = _searcher(documents, benchmark, item_id, item_text, window)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = id(items)
-        if key not in _built:
-            _built.clear()
-            _built[key] = Patterns(items.value, window)
+        patterns = build()
         for batch in batches:
             for rows, texts in slices(batch):
-                n, hit, found = _judged(_built[key], texts)
+                n, hit, found = _judged(patterns, texts)
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows.column(0), pa.array(n), pa.array(hit), pa.array([len(f) for f in found], pa.int64()),
                         pa.array([hashlib.sha256(",".join(f).encode()).hexdigest() for f in found]),
-                        pa.array((hit > 0) & (share * hit >= n)),
+                        pa.array(_contaminated(n, hit, share)),
                     ],
                     names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
                 )
 
     return documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(scan, SCHEMA)
+
+
+def _contaminated(n: np.ndarray, hit: np.ndarray, share: int) -> np.ndarray:
+    return (hit > 0) & (share * hit >= n)
+
+
+def drop_contaminated(
+    documents: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
+    window: int = WINDOW, share: int = 20,
+) -> DataFrame:
+    """``documents`` without the contaminated ones; all columns stay and nothing is shuffled."""
+    build = _searcher(documents, benchmark, item_id, item_text, window)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        patterns = build()
+        for batch in batches:
+            for rows, texts in slices(batch, text):
+                n, hit, _ = _judged(patterns, texts)
+                yield rows.filter(pa.array(~_contaminated(n, hit, share)))
+
+    return documents.mapInArrow(keep, documents.schema)
