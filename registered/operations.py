@@ -197,27 +197,13 @@ SELECT (event_id % 7)::BIGINT AS batch_id, count(*) AS n, sum(event_id)::BIGINT
 FROM events WHERE event_type = 'error' GROUP BY ALL""",
 )
 def reject_file_scan(spark, sf_dir):
-    """Rejected rows as files named after their batch; the batch id comes from the name.
-
-    Part files get their names from Spark, so each batch's files are renamed
-    here through the session's file system.
-    """
+    """Rejected rows in folders named after their batch; the batch id comes from the path."""
     rejected = (
-        table(spark, sf_dir, "events").filter(F.col("event_type") == "error").select("event_id", (F.col("event_id") % 7).alias("b"))
+        table(spark, sf_dir, "events").filter(F.col("event_type") == "error").select("event_id", (F.col("event_id") % 7).alias("rejected_batch"))
     )
-    staged, final = scratch_path(spark, "rejects-staged"), scratch_path(spark, "rejects")
-    rejected.write.partitionBy("b").option("header", True).csv(staged)
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    at = jvm.org.apache.hadoop.fs.Path
-    fs = at(staged).getFileSystem(conf)
-    fs.mkdirs(at(final))
-    for folder in fs.listStatus(at(staged)):
-        name = folder.getPath().getName()
-        if name.startswith("b="):
-            files = [f.getPath() for f in fs.listStatus(folder.getPath()) if f.getPath().getName().endswith(".csv")]
-            for i, path in enumerate(files):
-                fs.rename(path, at(f"{final}/rejected_batch_{name[2:]}_part_{i}.csv"))
-    rows = read_reject_csv(spark, f"{final}/*.csv", "event_id bigint")
+    place = scratch_path(spark, "rejects")
+    rejected.write.partitionBy("rejected_batch").option("header", True).csv(place)
+    rows = read_reject_csv(spark, f"{place}/*/*.csv", "event_id bigint")
     return rows.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("event_sum"))
 
 

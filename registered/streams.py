@@ -12,7 +12,8 @@ from sievewell.operators import validation as V
 from sievewell.plans.scratch import scratch_path
 from sievewell.schemas import RAW_EVENT_SCHEMA
 from sievewell.streaming.keyed_table import KeyedParquetTable
-from sievewell.streaming.progress import progress_frame
+from sievewell.sources.readers import read_log_csv
+from sievewell.streaming.progress import PROGRESS_LOG_SCHEMA, ProgressRecorder
 from sievewell.streaming.runner import run_stream
 from sievewell.streaming.sink import RoutedSink, read_counts, read_rejects
 
@@ -111,9 +112,16 @@ def stream_counts(spark, sf_dir):
     f"SELECT {FILES}::BIGINT AS batches, count(*) AS num_input_rows FROM events",
 )
 def stream_progress(spark, sf_dir):
-    """Progress of the finished query; every source row is read exactly once."""
-    _, query = drained(spark, sf_dir)
-    return progress_frame(spark, query.recentProgress).agg(
+    """Progress of the finished query as its listener logged it; every source row is read exactly once."""
+    log = scratch_path(spark, "progress")
+    recorder = ProgressRecorder(spark, log)
+    spark.streams.addListener(recorder)
+    try:
+        _, query = drained(spark, sf_dir)
+        recorder.wait_ended()
+    finally:
+        spark.streams.removeListener(recorder)
+    return read_log_csv(spark, log, PROGRESS_LOG_SCHEMA).where(F.col("stream_id") == str(query.id)).agg(
         F.count(F.lit(1)).alias("batches"), F.sum("num_input_rows").alias("num_input_rows")
     )
 

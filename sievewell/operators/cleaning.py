@@ -133,12 +133,12 @@ def drop_sparse(df: DataFrame, minimum: int = 10, columns: Sequence[str] | None
 def one_per_key(df: DataFrame, key: str | Sequence[str], prefer: Sequence[Column | str] | None = None) -> DataFrame:
     """DED1: one row per key; NULL keys count as one key.
 
-    The survivor is the first in ``prefer`` order (default: all other columns),
-    so reruns agree.  Spark limits each key to one row before the shuffle, so a
+    The survivor is the first in ``prefer`` order, ties going by all other
+    columns in turn (but maps, which have no order), so reruns agree.  Spark limits each key to one row before the shuffle, so a
     key repeated in a third of all rows sends one row per map task.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    order = list(prefer) if prefer else [c for c in df.columns if c not in keys]
+    order = [*(prefer or ()), *_remaining(df, [*keys, *(prefer or ())])]
     if all(isinstance(c, str) for c in order):
         # One SQL text instead of one driver call per column.
         place = F.expr(f"row_number() OVER (PARTITION BY {_names(keys)} ORDER BY {_names(order)})")
@@ -147,6 +147,12 @@ def one_per_key(df: DataFrame, key: str | Sequence[str], prefer: Sequence[Column
     return df.withColumn("__place", place).filter("__place = 1").drop("__place")
 
 
+def _remaining(df: DataFrame, used: Sequence[Column | str]) -> list[str]:
+    """Columns that can settle a tie left by ``used``."""
+    taken = {c for c in used if isinstance(c, str)}
+    return [f.name for f in df.schema.fields if f.name not in taken and "map<" not in f.dataType.simpleString()]
+
+
 def _names(columns: Sequence[str]) -> str:
     return ", ".join(f"`{c}`" for c in columns)
 
@@ -177,7 +183,7 @@ def cleaning_funnel(
         .when(~F.coalesce(F.col(status) == F.lit(wanted), F.lit(False)), F.lit(2))
         .otherwise(F.lit(3))
     )
-    order = [F.col(f"`{c}`") for c in (prefer or [c for c in df.columns if c != key])]
+    order = [F.col(f"`{c}`") for c in [*prefer, *_remaining(df, [key, *prefer])]]
     # Every key keeps its preferred row; its other copies fall at stage 0.
     per_key = df.groupBy(key).agg(
         F.count(F.lit(1)).alias("copies"),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievewell.operators.cleaning import one_per_key
+from sievewell.plans.skew import salted_lookup
 
 
 def request_list(spark: SparkSession, ids: Sequence[int], key: str = "id", position: str = "position") -> DataFrame:
@@ -28,14 +29,14 @@ def missing_keys(requested: DataFrame, cache: DataFrame, key: str = "id") -> Dat
 def merge_fresh(
     cache: DataFrame, fresh: DataFrame, key: str = "id", latest: Sequence[Column | str] | None = None
 ) -> DataFrame:
-    """JON2: cached rows, replaced or completed by fresh rows of the same key.
+    """JON2: one row per key: the fresh one where there is one, else the cached one.
 
-    With ``latest`` given, several fresh rows of one key are first reduced to
-    the one that sorts first.
+    Several fresh rows of a key are reduced to the one that sorts first in
+    ``latest``, several cached ones likewise if they have its columns;
+    remaining ties, and rows without such an order, go by all other columns.
     """
-    if latest is not None:
-        fresh = one_per_key(fresh, key, latest)
-    kept = cache.join(fresh.select(key), key, "left_anti")
+    fresh = one_per_key(fresh, key, latest)
+    kept = one_per_key(cache.join(fresh.select(key), key, "left_anti"), key)
     return fresh.unionByName(kept, allowMissingColumns=True)
 
 
@@ -43,8 +44,12 @@ def lookup_in_order(
     requested: DataFrame, available: DataFrame, key: str = "id", position: str = "position"
 ) -> DataFrame:
     """JON3: available rows in request order; a key asked for twice comes twice."""
-    found = requested.select(position, key).join(available, key)
-    return found.orderBy(position)
+    return _found(requested, available, key, position).orderBy(position)
+
+
+def _found(requested: DataFrame, available: DataFrame, key: str, position: str) -> DataFrame:
+    """Requests with their rows; a key asked for very often is spread."""
+    return salted_lookup(requested.select(position, key), available, [key], [position])
 
 
 def with_fallback(primary: DataFrame, fallback: DataFrame) -> DataFrame:
@@ -56,12 +61,16 @@ def with_fallback(primary: DataFrame, fallback: DataFrame) -> DataFrame:
 
 
 def resolve_requests(
-    requested: DataFrame, cache: DataFrame, fresh: DataFrame, fallback: DataFrame, key: str = "id"
+    requested: DataFrame, cache: DataFrame, fresh: DataFrame, fallback: DataFrame, key: str = "id", position: str = "position"
 ) -> DataFrame:
     """JON1-JON4 and FLT11 together: what a request list yields from cache, fetched
-    rows and a fallback set (returned whole when nothing else is there).
+    rows and a fallback set.
+
+    ``position`` carries the request order and is NULL for fallback rows, which
+    come whole when neither cache nor fresh set has a row though something
+    usable was asked for.
     """
     wanted = usable_requests(requested, key)
     known = merge_fresh(cache, fresh, key)
-    found = lookup_in_order(wanted, known, key)
-    return found.drop("position").unionByName(fallback.filter(~known.exists()))
+    found = _found(wanted, known, key, position)
+    return found.unionByName(fallback.filter(~known.exists() & wanted.exists()), allowMissingColumns=True)

@@ -28,6 +28,8 @@ _T, _BIN, _FROM, _TO = "__t", "__bin", "__from", "__to"
 def _on_micros(df: DataFrame, ts: str, gap_seconds: float) -> tuple[DataFrame, int]:
     kind = dict(df.dtypes)[ts]
     gap = int(round(gap_seconds * 1_000_000))
+    if gap < 1:
+        raise ValueError(f"a gap of {gap_seconds} seconds is below one microsecond")
     micros = X.epoch_micros(F.col(ts), kind)
     return df.withColumns({_T: micros, _BIN: F.floor(micros / F.lit(gap)).cast("bigint")}), gap
 

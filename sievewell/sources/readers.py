@@ -10,8 +10,9 @@ from pyspark.sql import types as T
 
 from sievewell import schemas
 
-# Fixed value: file names of the per-partition reject files.
+# Fixed value: file names of the per-partition reject files; or folders of a batch as Spark writes them.
 REJECT_FILE_PATTERN = r"rejected_batch_(\d+)(?:_part_\d+)?\.csv$"
+REJECT_FOLDER_PATTERN = r"/rejected_batch[_=](\d+)/[^/]+$"
 
 
 def read_ndjson(spark: SparkSession, path: str, schema: T.StructType = schemas.RAW_RECORD_SCHEMA) -> DataFrame:
@@ -47,8 +48,9 @@ def csv_options(reader, corrupt: str = schemas.CORRUPT_COLUMN):
 def read_log_csv(spark: SparkSession, path: str, schema: T.StructType, required: Sequence[str] | None = None) -> DataFrame:
     """SRC5: a log with a header, typed by ``schema``; raises when a required column is missing.
 
-    Columns are taken by name, so their order in the file is free; columns of
-    ``schema`` that are neither required nor in the file come as NULL.
+    Columns are taken by name, so their order in the files is free as long as
+    all files share it: reading fails on a file with another header.  Columns
+    of ``schema`` that are neither required nor in the files come as NULL.
     """
     required = schema.fieldNames() if required is None else list(required)
     raw = spark.read.option("header", True).csv(path)
@@ -57,6 +59,8 @@ def read_log_csv(spark: SparkSession, path: str, schema: T.StructType, required:
     absent = sorted(set(required) - set(raw.columns))
     if absent:
         raise ValueError(f"{path} lacks column(s) {absent}; its header may be missing or truncated")
+    # With ``enforceSchema`` off every file's header is held against the first one's.
+    raw = spark.read.schema(raw.schema).option("header", True).option("enforceSchema", False).option("columnPruning", False).csv(path)
     return raw.select(
         *[
             (F.col(f.name).try_cast(f.dataType) if f.name in raw.columns else F.lit(None).cast(f.dataType)).alias(f.name)
@@ -66,13 +70,13 @@ def read_log_csv(spark: SparkSession, path: str, schema: T.StructType, required:
 
 
 def read_reject_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """SRC6: reject files under a glob, with the batch id taken from the file name.
+    """SRC6: reject files under a glob, with the batch id taken from the name of the file or of its folder.
 
-    Files whose names do not follow the pattern are left out.
+    Files that follow neither pattern are left out.
     """
-    named = spark.read.schema(schema).option("header", True).csv(path).withColumn(
-        "batch_id", F.regexp_extract(F.col("_metadata.file_name"), REJECT_FILE_PATTERN, 1).try_cast("bigint")
-    )
+    place = F.col("_metadata.file_path")
+    batch = [F.regexp_extract(place, p, 1).try_cast("bigint") for p in (REJECT_FILE_PATTERN, REJECT_FOLDER_PATTERN)]
+    named = spark.read.schema(schema).option("header", True).csv(path).withColumn("batch_id", F.coalesce(*batch))
     return named.filter(F.col("batch_id").isNotNull())
 
 

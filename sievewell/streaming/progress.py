@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Iterable
-from threading import Lock
+from threading import Event, Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -35,7 +35,11 @@ def progress_row(progress, stream_id: str | None = None) -> tuple:
 
 
 def progress_frame(spark: SparkSession, reports: Iterable, stream_id: str | None = None) -> DataFrame:
-    """SNK8: reports (such as ``query.recentProgress``) as a log frame, empty batches left out."""
+    """SNK8: given reports as a log frame, empty batches left out.
+
+    ``query.recentProgress`` holds the last 100 only; a ``ProgressRecorder``
+    logs them all.
+    """
     rows = [row for row in (progress_row(p, stream_id) for p in reports) if row[3]]
     return spark.createDataFrame(rows, PROGRESS_LOG_SCHEMA)
 
@@ -43,13 +47,15 @@ def progress_frame(spark: SparkSession, reports: Iterable, stream_id: str | None
 class ProgressRecorder(StreamingQueryListener):
     """STR8/SNK8: logs the life of queries and appends non-empty progress to a CSV folder.
 
-    Rows are kept until ``flush_every`` have come together or ``flush`` is
-    called, so a long run appends few files and keeps few rows in memory.
-    ``stream_id`` names the rows; the default is each query's own id.
+    Every row is appended as it comes; with ``flush_every`` above 1 rows are
+    kept until so many have come together or a query ends, which appends fewer
+    files but loses the pending rows if the process dies.  ``stream_id`` names
+    the rows; the default is each query's own id.
     """
 
-    def __init__(self, spark: SparkSession, path: str, stream_id: str | None = None, flush_every: int = 100):
+    def __init__(self, spark: SparkSession, path: str, stream_id: str | None = None, flush_every: int = 1):
         self._spark, self._path, self._stream_id, self._flush_every = spark, path, stream_id, flush_every
+        self._ended = Event()
         self._rows: list[tuple] = []
         self._lock = Lock()
 
@@ -75,6 +81,12 @@ class ProgressRecorder(StreamingQueryListener):
             log.error("stream failed: id=%s %s", event.id, event.exception)
         else:
             log.info("stream ended: id=%s", event.id)
+        self.flush()
+        self._ended.set()
+
+    def wait_ended(self, timeout: float = 60.0) -> bool:
+        """Wait until a query has ended and all its rows are logged; reports come on a thread of their own."""
+        return self._ended.wait(timeout)
 
     def flush(self) -> int:
         """Append what is pending; the number of rows written."""

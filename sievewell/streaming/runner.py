@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from sievewell import schemas
-from sievewell.operators.validation import Rule, clean_events
+from sievewell.operators.validation import Rule, clean_events, contract_rules
 from sievewell.sources.readers import csv_options
 from sievewell.streaming.sink import BatchOutcome, RoutedSink
 
@@ -56,19 +56,17 @@ class SinkWriter:
     The stream id must live as long as the checkpoint: unless the caller names
     one it is the query id kept there, known once the query has started.
     An exception leaves ``foreachBatch`` and stops the query (STR9); a restart
-    on the same checkpoint replays the batch.
+    on the same checkpoint replays the batch.  ``last`` is the latest outcome;
+    the sink's counts log has them all.
     """
 
     sink: RoutedSink
     stream_id: Future = field(default_factory=Future)
-    keep: int = 1000
-    outcomes: list[BatchOutcome] = field(default_factory=list)
+    last: BatchOutcome | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         outcome = self.sink.write_batch(batch, batch_id, self.stream_id.result(timeout=60))
-        if outcome is not None:
-            self.outcomes.append(outcome)
-            del self.outcomes[: -self.keep]
+        self.last = outcome or self.last
 
 
 def routed_writer(cleaned: DataFrame, writer: SinkWriter, checkpoint: str) -> DataStreamWriter:
@@ -92,6 +90,9 @@ def start_stream(
 ) -> tuple[StreamingQuery, SinkWriter]:
     """STR1, STR3, STR4: start the query; ``source`` is a folder or a raw event stream.
 
+    ``rules`` are those of the sink's contract unless given; looser ones let a
+    row through that stops the stream at the table.
+
     A table declared ``distinct_stream`` gets ``first_arrivals`` before it, its
     state in ``state_partitions`` parts (default: the session's shuffle
     partitions; a checkpoint keeps the number it was started with).
@@ -101,7 +102,7 @@ def start_stream(
     writer = SinkWriter(sink)
     if stream_id is not None:
         writer.stream_id.set_result(stream_id)
-    cleaned = clean_events(raw, rules, lenient_int=lenient_int, stamp=False)
+    cleaned = clean_events(raw, contract_rules() if rules is None else rules, lenient_int=lenient_int, stamp=False)
     if getattr(sink.table, "distinct_stream", False):
         cleaned = first_arrivals(cleaned, sink.table.key)
     pending = routed_writer(cleaned, writer, checkpoint)

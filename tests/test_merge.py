@@ -23,11 +23,20 @@ def test_request_resolution(spark):
     assert [r.v for r in M.lookup_in_order(wanted, known).collect()] == ["new3", "old1", "new3"]
     sample = frame(spark, (7, "sample"))
     whole = M.resolve_requests(requested, cache, fresh, sample)
-    assert [r.v for r in whole.collect()] == ["new3", "old1", "new3"]
+    assert [r.v for r in whole.orderBy("position").collect()] == ["new3", "old1", "new3"]
     nothing = frame(spark)
     assert [r.v for r in M.resolve_requests(requested, nothing, nothing, sample).collect()] == ["sample"]
 
 
+def test_one_row_per_key_and_no_fallback_for_nothing(spark):
+    requested, cache = M.request_list(spark, [5, 6]), frame(spark, (6, "b"), (6, "a"), (7, "x"), (7, "x"))
+    fresh, sample, nothing = frame(spark, (5, "z"), (5, "y")), frame(spark, (9, "sample")), frame(spark)
+    got = M.resolve_requests(requested, cache, fresh, sample).orderBy("position").collect()
+    assert [(r.position, r.id, r.v) for r in got] == [(0, 5, "y"), (1, 6, "a")]
+    assert sorted(tuple(r) for r in M.merge_fresh(cache, fresh).collect()) == [(5, "y"), (6, "a"), (7, "x")]
+    assert M.resolve_requests(M.request_list(spark, [0, -3]), nothing, nothing, sample).count() == 0
+
+
 def test_fallback(spark):
     some, none, other = frame(spark, (1, "a")), frame(spark), frame(spark, (2, "b"))
     assert [r.v for r in M.with_fallback(some, other).collect()] == ["a"]
