@@ -179,13 +179,10 @@ def test_timed_run_and_listener(spark, sink, tmp_path):
             spark, str(inbox), sink, str(tmp_path / "cp"), stream_id="live", duration=15, interval="200 milliseconds", rules=V.contract_rules()
         )
         assert not query.isActive
-        for _ in range(100):
-            if recorder._rows:
-                break
-            time.sleep(0.1)
+        assert recorder.wait_ended()
     finally:
         spark.streams.removeListener(recorder)
-    assert recorder.flush() == 1 and recorder.flush() == 0
+    assert recorder.flush() == 0
     progress = read_log_csv(spark, log, PROGRESS_LOG_SCHEMA)
     shape = V.clean_events(spark.createDataFrame([], schemas.RAW_EVENT_SCHEMA)).schema
     summary = run_report(progress, read_counts(spark, sink.counts_path), spark.createDataFrame([], shape).withColumns({"stream_id": F.lit("x"), "batch_id": F.lit(1)}))["summary"].first()
@@ -193,6 +190,28 @@ def test_timed_run_and_listener(spark, sink, tmp_path):
     assert summary.mean_latency_s > 0
 
 
+def test_every_batch_of_a_long_query_is_logged_once(spark, tmp_path):
+    log = str(tmp_path / "log")
+    recorder = ProgressRecorder(spark, log, flush_every=60)
+
+    class Ended:
+        exception, id = None, "q"
+
+    class Progress:
+        def __init__(self, batch):
+            self.progress = {
+                "id": "q", "batchId": batch, "timestamp": "2024-01-01T00:00:00.000Z", "numInputRows": batch % 3,
+                "inputRowsPerSecond": 1.0, "processedRowsPerSecond": 1.0, "durationMs": {"triggerExecution": 5},
+            }
+
+    for batch in range(230):
+        recorder.onQueryProgress(Progress(batch))
+    recorder.onQueryTerminated(Ended())
+    assert recorder.wait_ended(1)
+    got = sorted(r.batch_id for r in read_log_csv(spark, log, PROGRESS_LOG_SCHEMA).collect())
+    assert got == [b for b in range(230) if b % 3]
+
+
 def test_stream_options(spark, sink, tmp_path):
     inbox = tmp_path / "in"
     for i in range(3):
