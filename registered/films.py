@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from registered.book import register
-from registered.frames import FILMS_SQL, films, table
+from registered.frames import FILMS_SQL, films, table, whole
 from sievewell.functions import expressions as X
 from sievewell.functions.quantiles import grouped_quantiles
 from sievewell.operators import charts as CH
@@ -218,6 +218,29 @@ def exact_medians(spark, sf_dir):
     )
 
 
+@register(
+    "typed_medians",
+    "AGG2",
+    """
+WITH typed AS (
+  SELECT l_returnflag, 9007199254740993 + l_orderkey * 64 + l_linenumber AS big,
+         cast(round(l_extendedprice * 100)::BIGINT AS DECIMAL(25, 0)) AS cents FROM lineitem
+), big AS (SELECT l_returnflag, count(big) AS n, quantile_disc(big, 0.5)::BIGINT AS median FROM typed GROUP BY ALL),
+cents AS (SELECT l_returnflag, quantile_disc(cents, 0.5)::VARCHAR AS median_cents FROM typed GROUP BY ALL)
+SELECT * FROM big JOIN cents USING (l_returnflag)""",
+)
+def typed_medians(spark, sf_dir):
+    """Integers beyond 2^53 and decimals keep their type and their last digit."""
+    typed = table(spark, sf_dir, "lineitem").select(
+        "l_returnflag",
+        (F.lit(9007199254740993) + F.col("l_orderkey").cast("bigint") * 64 + F.col("l_linenumber")).alias("big"),
+        whole("l_extendedprice", 100).cast("decimal(25,0)").alias("cents"),
+    )
+    big = grouped_quantiles(typed, ["l_returnflag"], "big", {"median": 0.5}, accuracy=1000)
+    cents = grouped_quantiles(typed, ["l_returnflag"], "cents", {"median_cents": 0.5}, accuracy=1000).drop("n")
+    return big.join(cents.withColumn("median_cents", F.col("median_cents").cast("string")), "l_returnflag")
+
+
 @register(
     "global_quartiles",
     "AGG2",

@@ -25,6 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sievewell.plans.skew import salted_lookup
 
@@ -51,7 +52,8 @@ def grouped_quantiles(
 
     ``quantiles`` maps output name to probability.  ``disc`` returns the
     smallest element whose rank share reaches the probability (the lower
-    median for 0.5); ``cont`` interpolates linearly between neighbours.
+    median for 0.5), integers and decimals in their own type; ``cont``
+    interpolates linearly between neighbours, in doubles.
     A group whose values are all NULL appears with ``n`` = 0 and NULLs.
     ``carry`` names further aggregates over ``df`` (means, say) to be computed
     in the first pass and returned too, which saves them a scan of their own.
@@ -64,7 +66,10 @@ def grouped_quantiles(
     probabilities = list(quantiles.values())
     extra = {f"__carry_{name}": c for name, c in (carry or {}).items()}
     kept = list(extra)
-    measured = df.withColumn(_V, F.col(value).cast("double"))
+    kind = df.schema[value].dataType
+    if method == LINEAR or not isinstance(kind, (T.IntegralType, T.DecimalType)):
+        kind = T.DoubleType()
+    measured = df.withColumn(_V, F.col(value).cast(kind))
     slim = measured.select(*keys, _V)
 
     # From this size on a bracket spans four ranks and more to either side,
@@ -86,14 +91,14 @@ def grouped_quantiles(
         only = brackets.select(F.struct(_N, _EDGES, *kept)).scalar()
         placed = values.withColumn("__b", only).select(_V, *[f"__b.{c}" for c in (_N, _EDGES, *kept)])
 
-    low = [F.get(_EDGES, F.lit(2 * i)) for i in range(len(probabilities))]
-    high = [F.get(_EDGES, F.lit(2 * i + 1)) for i in range(len(probabilities))]
+    low = [_widened(F.get(_EDGES, F.lit(2 * i)), kind, F.try_subtract) for i in range(len(probabilities))]
+    high = [_widened(F.get(_EDGES, F.lit(2 * i + 1)), kind, F.try_add) for i in range(len(probabilities))]
     inside = F.lit(False)
     for lo, hi in zip(low, high):
         inside = inside | F.col(_V).between(lo, hi)
     # A gap is named after the highest bracket edge below it (NULL: none), so
     # that (edge, gap last) sorts like the values it stands for.
-    edge_below = F.greatest(*[F.when(hi < F.col(_V), hi) for hi in [*high, F.lit(None).cast("double")]])
+    edge_below = F.greatest(*[F.when(hi < F.col(_V), hi) for hi in [*high, F.lit(None).cast(kind)]])
     cells = (
         placed.select(
             *keys,
@@ -111,7 +116,7 @@ def grouped_quantiles(
     ranked = cells.withColumn(_CUM, F.sum(_CNT).over(running))
 
     if method == DISCRETE:
-        picked = {name: _element(_rank(p)) for name, p in quantiles.items()}
+        picked = {name: _element(_rank(p), kind).cast(kind) for name, p in quantiles.items()}
     else:
         picked = {name: _interpolated(p) for name, p in quantiles.items()}
     answers = ranked.groupBy(*keys).agg(
@@ -139,10 +144,22 @@ def _rank(p: float) -> Column:
     return F.greatest(F.ceil(F.round(F.col(_N) * F.lit(p), 9)), F.lit(1))
 
 
-def _element(rank: Column) -> Column:
+def _widened(edge: Column, kind: T.DataType, move) -> Column:
+    """A bracket edge moved outwards by what the sketch, which counts in doubles, may have rounded it."""
+    if isinstance(kind, T.DoubleType):
+        return edge
+    if isinstance(kind, T.DecimalType):
+        rounding = F.coalesce((F.abs(edge).cast("double") * F.lit(1e-14)).try_cast(kind), F.lit(0).cast(kind))
+        slack = rounding + F.lit(f"1e-{kind.scale}").cast(kind)
+        return F.coalesce(move(edge, slack).try_cast(kind), edge)
+    slack = F.abs(F.shiftright(edge.cast("bigint"), 50)) + F.lit(1)
+    return F.coalesce(move(edge.cast("bigint"), slack), edge.cast("bigint"))
+
+
+def _element(rank: Column, kind: T.DataType = T.DoubleType()) -> Column:
     """Value at a 1-based rank: the lowest cell whose running count reaches it."""
     hit = F.min(F.when(F.col(_CUM) >= rank, F.struct(_CUM, _GAP, F.col(_REP).alias("rep"))))
-    missed = F.raise_error(F.lit("quantile bracket missed its rank; raise `accuracy`")).cast("double")
+    missed = F.raise_error(F.lit("quantile bracket missed its rank; raise `accuracy`")).cast(kind)
     return F.when(hit[_GAP] == 1, missed).otherwise(hit["rep"])
 
 

@@ -113,3 +113,17 @@ def test_box_statistics(spark, options):
         assert (row.q1, row["median"], row.q3) == pytest.approx((q1, median, q3))
         assert row.whisker_low == pytest.approx(min(min(inside), q1))
         assert row.whisker_high == pytest.approx(max(max(inside), q3))
+
+
+@pytest.mark.parametrize("options", [{}, {"accuracy": 100, "small_group": 10}])
+def test_integers_and_decimals_keep_their_last_digit(spark, options):
+    from decimal import Decimal
+
+    big = 9007199254740993
+    small = spark.createDataFrame([(1, big), (1, big), (1, big + 2)], "k int, v bigint")
+    assert [r.m for r in grouped_quantiles(small, ["k"], "v", {"m": 0.5}).collect()] == [big]
+    values = sorted({big + (i * 7919) % 100_003 for i in range(4000)} | {2**63 - 1, -(2**63)})
+    rows = spark.createDataFrame([(1, v, Decimal(v) / 100) for v in values], "k int, v bigint, d decimal(28,2)")
+    median = values[(len(values) + 1) // 2 - 1]
+    assert [r.m for r in grouped_quantiles(rows, ["k"], "v", {"m": 0.5}, **options).collect()] == [median]
+    assert [r.m for r in grouped_quantiles(rows, ["k"], "d", {"m": 0.5}, **options).collect()] == [Decimal(median) / 100]
