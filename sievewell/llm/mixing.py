@@ -129,7 +129,7 @@ def fit_rates(members: DataFrame, targets: Mapping[str, float], classifier: Clas
     expected = [F.sum(F.col("tokens") * F.get("p", k)).alias(f"x{k}") for k in range(count)]
     first = members.agg(F.sum("tokens").alias("t"), *expected).first()
     total, weight = float(first.t or 0), sum(targets.values())
-    if not total or not weight:
+    if not total or not weight or not count:
         return Rates((), 0.0)
     goal = [targets.get(d, 0.0) / weight for d in classifier.domains]
     scale = [1 / max(first[f"x{k}"] / total, 1e-6) for k in range(count)]
