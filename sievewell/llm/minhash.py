@@ -9,8 +9,9 @@ Texts with equal shingle sets form one class.  Classes meet in buckets of equal
 bands; buckets are cut into blocks of bounded size, and a task sees one pair of
 blocks.  There a class asks the partner with the most equal coordinates among
 those of other components; full sets are compared, components joined, and
-buckets that still hold several components asked again, at last for *every*
-pair between different components that could reach the threshold.  So groups
+buckets that still hold several components asked again for as long as that
+joins any, and at last for *every* pair between different components that could
+reach the threshold.  So groups
 of thousands of copies cost a few comparisons per text, and no candidate is
 left out.
 """
@@ -36,8 +37,8 @@ BANDS = 28
 COORDINATES = BAND_ROWS * BANDS
 #: Coordinates of which one byte each is kept to estimate a similarity (standard error 0.03), and how far below the
 #: threshold an estimate may be for the pair still to be compared.
-KEPT = 128
-SLACK = 0.15
+KEPT = COORDINATES
+SLACK = 0.125
 #: Classes in a block; a task compares two blocks at a time.
 BLOCK = 1024
 #: Most ids that are broadcast to pick texts; more are joined by a shuffle.
@@ -256,24 +257,35 @@ def _joined(documents: DataFrame, like: Likeness, doc_id: str, text: str) -> tup
     shared = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     blocks = F.ceil(F.col("size") / BLOCK).cast("bigint").alias("blocks")
     placed = stored(placed.join(shared.select("bucket", blocks), "bucket"), "buckets")
-    facts = classes.join(placed.select("node").distinct(), "node", "left_semi").select("node", "key", "n_shingles", "kept_bytes", "tags")
-    members = stored(placed.join(facts.drop("key"), "node").withColumn("component", F.col("node")), "members")
+    facts = stored(
+        classes.join(placed.select("node").distinct(), "node", "left_semi").select("node", "key", "n_shingles", "kept_bytes", "tags"), "facts"
+    )
     joined: DataFrame | None = None
     sets: DataFrame | None = None
-    for best_only in (True, True, False):
-        if joined is not None:
-            known = members.drop("component").join(joined, "node", "left")
-            known = known.withColumn("component", F.coalesce("component", "node"))
+    best_only = True
+    while True:
+        if joined is None:
+            known = placed.withColumn("component", F.col("node"))
+        else:
+            known = placed.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
             mixed = known.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
-            members = stored(known.join(mixed.select("bucket"), "bucket", "left_semi"), "members")
+            known = stored(known.join(mixed.select("bucket"), "bucket", "left_semi"), "mixed")
+            placed = known.select("bucket", "node", "blocks")
+        # What is compared is joined last, so that only buckets still mixed carry it.
+        members = known.join(facts.drop("key"), "node")
         pairs = stored(_partners(members, like.percent, best_only), "pairs")
         if sets is None:
             asked = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b"))).distinct()
-            sets = stored(_shingle_sets(keyed, classes.join(asked, "node", "left_semi").select("key"), like), "sets")
-        links = _verified(pairs, sets, like.percent)
-        if joined is not None:
-            links = links.union(joined.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        joined = components(links)
+            sets = stored(_shingle_sets(keyed, facts.join(asked, "node", "left_semi").select("key"), like), "sets")
+        links = stored(_verified(pairs, sets, like.percent), "verified")
+        merged = links.limit(1).count() > 0
+        if joined is None or merged:
+            old = links.limit(0) if joined is None else joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            joined = components(links.union(old))
+        if not best_only:
+            break
+        # While asking the likeliest partners joins components, ask again: every round at least halves those that can be joined.
+        best_only = merged
     return sketched, joined
 
 
