@@ -66,8 +66,8 @@ def test_toxicity_without_labels_and_with_odd_rows(spark, docs, odd):
     assert judge_toxicity(docs([]), none).count() == 0
 
 
-def test_labels_of_the_held_out_fold_are_not_read(spark, docs):
-    rows = [(i, f"grobbel{i} flim" if i % 2 else f"calm{i} words") for i in range(400)]
+def test_labels_of_the_held_out_fold_are_not_read(spark, docs, prose):
+    rows = [(i, " ".join(["grobbel"] * (i % 2) + prose(15, i))) for i in range(400)]
     labels = spark.createDataFrame([(i, None, i % 2) for i in range(400)], LABELS)
     flipped = labels.withColumn("toxic", F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")))
     one = sorted(judge_toxicity(docs(rows), labels).collect())
