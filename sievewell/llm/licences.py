@@ -14,7 +14,8 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Most known licences to broadcast; more are joined by a shuffle.
 MOST_BROADCAST = 50_000
 
-COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright[^a-z0-9\n][^\n]*|\(c\)[^\n]*|©[^\n]*)"
+# A line is one of copyright if a sign, a year or a placeholder follows: a wrapped text may begin a line with the word.
+COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright[ \t]*(\(c\)|©|[ \t][0-9<])[^\n]*|\(c\)[ \t]*[0-9][^\n]*|©[^\n]*)"
 NOT_WORD = r"[^a-z0-9\x{80}-\x{10FFFF}]+"
 
 # Spellings that count as the same, each with the one kept.
