@@ -7,13 +7,14 @@ signature is the minimum over one slice of the table per shingle.
 
 Texts with equal shingle sets form one class.  Classes meet in buckets of equal
 bands; buckets are cut into blocks of bounded size, and a task sees one pair of
-blocks.  There a class asks the partner with the most equal coordinates among
-those of other components; full sets are compared, components joined, and
+blocks.  There a class asks the likeliest partner among those of other
+components; full sets are compared, components joined, and
 buckets that still hold several components asked again for as long as that
 joins any, and at last for *every* pair between different components that could
-reach the threshold.  So groups
-of thousands of copies cost a few comparisons per text, and no candidate is
-left out.
+reach the threshold.  What could is decided by bitmaps of the sets, which bound
+the number of shared shingles from above and estimate nothing.  So groups
+of thousands of copies cost a few comparisons per text, and no two classes that
+meet in a bucket are left out.
 """
 
 from __future__ import annotations
@@ -35,16 +36,14 @@ RING = 1 << 20
 BAND_ROWS = 5
 BANDS = 28
 COORDINATES = BAND_ROWS * BANDS
-#: Coordinates of which one byte each is kept to estimate a similarity (standard error 0.03), and how far below the
-#: threshold an estimate may be for the pair still to be compared.
-KEPT = COORDINATES
-SLACK = 0.125
+#: Bits of a set's bitmap.  Longer sets fill it, and then it rules out less.
+MARKS = 2048
 #: Classes in a block; a task compares two blocks at a time.
 BLOCK = 1024
 #: Most ids that are broadcast to pick texts; more are joined by a shuffle.
 MOST_BROADCAST = 1_000_000
 
-_SKETCH = "key bigint, doc_id bigint, node bigint, n_shingles bigint, bands array<bigint>, kept_bytes binary, tags binary"
+_SKETCH = "key bigint, doc_id bigint, node bigint, n_shingles bigint, bands array<bigint>, marks binary, tags binary"
 
 
 @dataclass(frozen=True)
@@ -74,6 +73,27 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
+def _marks(shingles: np.ndarray) -> bytes:
+    """One bit for each value that a hash of the shingles takes."""
+    bits = np.zeros(MARKS, dtype=bool)
+    bits[(mix(shingles ^ np.uint64(0x8EBC6AF09C88C6E3)) & np.uint64(MARKS - 1)).astype(np.int64)] = True
+    return np.packbits(bits).tobytes()
+
+
+def most_shared(n: np.ndarray, marks: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """No fewer than the shingles that each of ``left`` shares with each of ``right``.
+
+    A bit that only one set has is a shingle that the other lacks, so at most
+    its size less the number of such bits are shared.
+    """
+    spare = n - np.bitwise_count(marks).sum(axis=1, dtype=np.int64)
+    out = np.minimum(spare[left][:, None], spare[right])
+    there = marks[right]
+    for i, x in enumerate(left):
+        out[i] += np.bitwise_count(marks[x] & there).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def _sets(texts: list[bytes | None], width: int) -> list[np.ndarray]:
     words = cut(texts, NOT_SPACE)
     hashes, bounds = runs(words.hashes(), words.first, width)
@@ -101,27 +121,25 @@ def _sketches(documents: DataFrame, like: Likeness) -> DataFrame:
             for rows, texts in slices(batch):
                 sets = _sets(texts, like.words)
                 signed = [signature(s).astype(np.uint64) if len(s) else None for s in sets]
-                bands, kept, tags = [], [], []
+                bands, tags = [], []
                 for s in signed:
                     if s is None:
                         bands.append(None)
-                        kept.append(None)
                         tags.append(None)
                         continue
                     key = numbers
                     for part in s.reshape(BANDS, BAND_ROWS).T:
                         key = mix(key * np.uint64(31) + part)
                     bands.append(key.astype(np.int64))
-                    tags.append(key.astype(np.uint32).tobytes())
-                    kept.append((mix(s[:KEPT]) & np.uint64(255)).astype(np.uint8).tobytes())
+                    tags.append(key.tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows.column(0), rows.column(1),
                         pa.array([_node(s) if len(s) else None for s in sets], pa.int64()),
                         pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array(bands, pa.list_(pa.int64())), pa.array(kept, pa.binary()), pa.array(tags, pa.binary()),
+                        pa.array(bands, pa.list_(pa.int64())), pa.array([_marks(s) if len(s) else None for s in sets], pa.binary()), pa.array(tags, pa.binary()),
                     ],
-                    names=["key", "doc_id", "node", "n_shingles", "bands", "kept_bytes", "tags"],
+                    names=["key", "doc_id", "node", "n_shingles", "bands", "marks", "tags"],
                 )
 
     return documents.mapInArrow(sketch, _SKETCH)
@@ -148,16 +166,15 @@ def _partners(members: DataFrame, percent: int, best_only: bool) -> DataFrame:
     """Pairs (a, b) of different components worth comparing, from blocks of buckets.
 
     ``members``: bucket, blocks (how many the bucket has), node, component,
-    n_shingles, kept_bytes, tags.  A pair that meets in several buckets is
+    n_shingles, marks, tags.  A pair that meets in several buckets is
     given by the one of its first common band only.
     """
-    least = percent / 100 - SLACK
     own = F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks"))
     numbered = members.withColumn("own", own)
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
     paired = numbered.select("*", other.alias("other")).select(
         "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own",
-        "node", "component", "n_shingles", "kept_bytes", "tags",
+        "node", "component", "n_shingles", "marks", "tags",
     )
     dealt = paired.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "node")
 
@@ -169,26 +186,25 @@ def _partners(members: DataFrame, percent: int, best_only: bool) -> DataFrame:
             right = np.flatnonzero(group["own"] != group["low"][0])
         if not len(left) or not len(right):
             return left[:0], right[:0]
-        n, component, kept = group["n_shingles"], group["component"], group["kept"]
-        alike = np.empty((len(left), len(right)), dtype=np.float32)
-        for i, x in enumerate(left):
-            alike[i] = (kept[x] == kept[right]).mean(axis=1)
-        small = np.minimum(n[left][:, None], n[right]) * 100 < percent * np.maximum(n[left][:, None], n[right])
-        alike[(component[left][:, None] == component[right]) | small] = 0
+        n, component = group["n_shingles"], group["component"]
+        shared = most_shared(n, group["marks"], left, right)
+        either = n[left][:, None] + n[right] - shared
+        possible = (component[left][:, None] != component[right]) & (100 * shared >= percent * either)
         if not best_only:
-            i, j = np.nonzero(alike >= least)
+            i, j = np.nonzero(possible)
             return first_meetings(group, left[i], right[j])
+        alike = np.where(possible, shared / either, 0)
         i, j = np.arange(len(left)), alike.argmax(axis=1)
-        good = alike[i, j] >= least
+        good = possible[i, j]
         pairs = [(left[i[good]], right[j[good]])]
         if left is not right:
             j, i = np.arange(len(right)), alike.argmax(axis=0)
-            good = alike[i, j] >= least
+            good = possible[i, j]
             pairs.append((left[i[good]], right[j[good]]))
         return first_meetings(group, *(np.concatenate(x) for x in zip(*pairs)))
 
     def first_meetings(group: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        here = group["bucket"][:1].astype(np.uint32)
+        here = group["bucket"][0].astype(np.uint64)
         tags = group["tags"]
         good = np.zeros(len(i), dtype=bool)
         for at in range(0, len(i), 1 << 16):
@@ -225,8 +241,8 @@ def _partners(members: DataFrame, percent: int, best_only: bool) -> DataFrame:
             if not batch.num_rows:
                 continue
             columns = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "low", "high", "own", "node", "component", "n_shingles")}
-            columns["kept"] = np.frombuffer(b"".join(batch.column("kept_bytes").to_pylist()), dtype=np.uint8).reshape(-1, KEPT)
-            columns["tags"] = np.frombuffer(b"".join(batch.column("tags").to_pylist()), dtype=np.uint32).reshape(-1, BANDS)
+            columns["marks"] = np.frombuffer(b"".join(batch.column("marks").to_pylist()), dtype=np.uint64).reshape(-1, MARKS // 64)
+            columns["tags"] = np.frombuffer(b"".join(batch.column("tags").to_pylist()), dtype=np.uint64).reshape(-1, BANDS)
             if rest is not None:
                 columns = {k: np.concatenate([rest[k], v]) for k, v in columns.items()}
             out, rest = paired_in(columns, last=False)
@@ -251,14 +267,14 @@ def _joined(documents: DataFrame, like: Likeness, doc_id: str, text: str) -> tup
     keyed = _keyed(documents, doc_id, text)
     sketched = stored(_sketches(keyed, like), "sketches")
     classes = stored(
-        sketched.where("node is not null").select("node", "key", "n_shingles", "bands", "kept_bytes", "tags").dropDuplicates(["node"]), "classes"
+        sketched.where("node is not null").select("node", "key", "n_shingles", "bands", "marks", "tags").dropDuplicates(["node"]), "classes"
     )
     placed = classes.select(F.explode("bands").alias("bucket"), "node")
     shared = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     blocks = F.ceil(F.col("size") / BLOCK).cast("bigint").alias("blocks")
     placed = stored(placed.join(shared.select("bucket", blocks), "bucket"), "buckets")
     facts = stored(
-        classes.join(placed.select("node").distinct(), "node", "left_semi").select("node", "key", "n_shingles", "kept_bytes", "tags"), "facts"
+        classes.join(placed.select("node").distinct(), "node", "left_semi").select("node", "key", "n_shingles", "marks", "tags"), "facts"
     )
     joined: DataFrame | None = None
     sets: DataFrame | None = None

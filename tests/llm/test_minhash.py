@@ -63,6 +63,32 @@ def test_blocks_of_a_large_bucket_miss_nothing(spark, docs, prose, monkeypatch):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows, 3, 85)
 
 
+def test_pairs_whose_signatures_look_unlike_are_compared(spark, docs):
+    # Each pair shares a band and 8 of 10 shingles, but only 64 to 67 % of its coordinates.
+    texts = (
+        ("2d57 843c 76d0 19e3 3b94 ad7f 642f 7ae3 323b 9eaa e09 8a88", "83a2", "5dde"),
+        ("7462 21ef 9d27 274e 9d7c 788d a227 9312 df 8b63 55b1 a507", "99b0", "5933"),
+        ("e68 20b7 3afe 96cb 37d4 1023 9b72 3fa0 1f08 8184 2cd1 1603", "25d6", "81a"),
+    )
+    rows = [(10 * i + j, f"{t[0]} {t[j]}") for i, t in enumerate(texts) for j in (1, 2)]
+    got = {r.doc_id: r.component_id for r in near_duplicates(docs(rows)).collect()}
+    assert got == {1: 1, 2: 1, 11: 11, 12: 11, 21: 21, 22: 21}
+
+
+def test_bitmaps_never_bound_too_low():
+    from sievewell.llm.minhash import _marks, most_shared
+
+    rng = np.random.default_rng(4)
+    pool = rng.integers(0, 2**63, 9000).astype(np.uint64)
+    sets = [rng.choice(pool[: rng.integers(n, 9000)], n, replace=False) for n in (1, 2, 9, 100, 300, 301, 1500, 1600, 6000) for _ in range(4)]
+    n = np.array([len(s) for s in sets])
+    marks = np.stack([np.frombuffer(_marks(s), dtype=np.uint64) for s in sets])
+    every = np.arange(len(sets))
+    shared = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+    bound = most_shared(n, marks, every, every)
+    assert (bound >= shared).all() and (bound <= np.minimum(n[:, None], n)).all() and (bound.diagonal() == n).all()
+
+
 def test_one_of_each_group_stays(spark, docs, prose, odd):
     rows = family(prose, 30, 1, 100, 1) + [(100, family(prose, 1, 1, 100, 1)[0][1])] + odd
     kept = keep_one_each(docs(rows).withColumn("__extra", F.lit(1)))
