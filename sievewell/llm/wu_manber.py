@@ -6,6 +6,10 @@ table says how many words may be skipped because no pattern has that block
 near its end; where the shift is zero, a bucket of the block's hash names the
 patterns to try, and bytes are compared to confirm.  Texts are cut into lanes
 that numpy advances together, each by its own shift.
+
+A benchmark too large for one search is searched for in parts, one after the
+other; each part gives the ranges it hits and its items for each text, and
+these are united before anything is counted.
 """
 
 from __future__ import annotations
@@ -19,12 +23,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sievewell.llm.store import stored
 from sievewell.llm.words import ALPHANUMERIC, Words, cut, mix, slices
+from sievewell.plans.skew import salted_lookup
 
 WINDOW = 13
 LANE = 256
-#: Bytes of benchmark text that one search may hold; checked before they are collected and broadcast.
+#: Bytes of benchmark text (and 16 for each item) that one search may hold; checked before they are collected and broadcast.
+#: Only an item that is larger by itself is searched for nevertheless, alone.
 MOST_BENCHMARK_BYTES = 16 << 20
+#: Buckets of items for each full part, by hash; parts are made of whole buckets.
+BUCKETS_A_PART = 1024
+#: Most digests of contaminated texts that are broadcast; more are joined by a shuffle.
+MOST_BROADCAST = 1_000_000
 
 SCHEMA = "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean"
 
@@ -131,28 +142,118 @@ class Patterns:
         return [words.data[words.start[i] : words.end[i]].tobytes() for i in range(end - length + 1, end + 1)]
 
 
-def _judged(patterns: Patterns, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
-    words = cut(texts, ALPHANUMERIC)
+def _marked(patterns: Patterns, words: Words) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
+    """Where windows end; +1 and -1 where they begin and are over; the items' names of each text."""
     at, length, item = patterns.occurrences(words)
     edge = np.zeros(len(words.start) + 1, dtype=np.int64)
     np.add.at(edge, at - length + 1, 1)
     np.add.at(edge, at + 1, -1)
-    hit = np.concatenate(([0], np.cumsum(np.cumsum(edge[:-1]) > 0)))
     doc = np.searchsorted(words.first, at, side="right") - 1
-    items: list[set[str]] = [set() for _ in texts]
+    items: list[set[str]] = [set() for _ in words.first[1:]]
     for d, i in set(zip(doc.tolist(), item.tolist())):
         items[d].add(patterns.names[i])
-    return np.diff(words.first), np.diff(hit[words.first]), [sorted(s) for s in items]
+    return at, edge, [sorted(s) for s in items]
+
 
+def _judged(patterns: Patterns, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
+    words = cut(texts, ALPHANUMERIC)
+    _, edge, items = _marked(patterns, words)
+    hit = np.concatenate(([0], np.cumsum(np.cumsum(edge[:-1]) > 0)))
+    return np.diff(words.first), np.diff(hit[words.first]), items
+
+
+def _items(benchmark: DataFrame, item_id: str, item_text: str) -> DataFrame:
+    picked = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("i"), F.col(item_text).cast("string").alias("t"))
+    return picked.where("t is not null").withColumn("bytes", F.octet_length("t") + F.lit(16).cast("bigint"))
+
+
+def _searcher(items: DataFrame, window: int):
+    """A function for tasks that gives the patterns of ``items``, which are broadcast."""
+    held = items.sparkSession.sparkContext.broadcast([(r.i, r.t.encode()) for r in items.select("i", "t").collect()])
+    return lambda: Patterns(held.value, window)
+
+
+def _parts(items: DataFrame) -> list[DataFrame]:
+    """``items`` as one table, or as several that are each small enough for a search."""
+    size = items.agg(F.sum("bytes")).first()[0] or 0
+    if size <= MOST_BENCHMARK_BYTES:
+        return [items]
+    buckets = BUCKETS_A_PART * -(-size // MOST_BENCHMARK_BYTES)
+    dealt = stored(items.distinct().withColumn("bucket", F.pmod(F.xxhash64("i", "t"), F.lit(buckets))), "items")
+    sizes = sorted((r.bucket, r.n) for r in dealt.groupBy("bucket").agg(F.sum("bytes").alias("n")).collect())
+    parts, low, full = [], sizes[0][0], 0
+    for bucket, n in sizes:
+        if full and full + n > MOST_BENCHMARK_BYTES:
+            parts.append((low, bucket))
+            low, full = bucket, 0
+        full += n
+    parts.append((low, buckets))
+    return [dealt.where((F.col("bucket") >= x) & (F.col("bucket") < y)) for x, y in parts]
+
+
+def _digest(text: str):
+    return F.sha2(F.col(text).cast("string").cast("binary"), 256)
+
+
+def _hits(documents: DataFrame, parts: list[DataFrame], text: str, window: int) -> DataFrame:
+    """(digest, n_words, n_hit, names) of each different text that any part of the benchmark hits."""
+    texts = documents.select(_digest(text).alias("digest"), F.col(text).cast("string").alias("text")).where("text is not null")
+    every: DataFrame | None = None
+    for part in parts:
+        build = _searcher(part, window)
+
+        def scan(batches: Iterator[pa.RecordBatch], build=build) -> Iterator[pa.RecordBatch]:
+            patterns = build()
+            for batch in batches:
+                for rows, found in slices(batch):
+                    words = cut(found, ALPHANUMERIC)
+                    at, edge, items = _marked(patterns, words)
+                    inside = np.cumsum(edge[:-1]) > 0
+                    for d in np.unique(np.searchsorted(words.first, at, side="right") - 1):
+                        here = inside[words.first[d] : words.first[d + 1]]
+                        turns = np.flatnonzero(np.diff(here.view(np.int8), prepend=np.int8(0), append=np.int8(0)))
+                        ranges = [{"a": int(x), "b": int(y)} for x, y in zip(turns[::2], turns[1::2])]
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                rows.column(0).slice(d, 1), pa.array([len(here)], pa.int64()),
+                                pa.array([ranges], pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))),
+                                pa.array([items[d]], pa.list_(pa.string())),
+                            ],
+                            names=["digest", "n_words", "ranges", "names"],
+                        )
+
+        found = texts.mapInArrow(scan, "digest string, n_words bigint, ranges array<struct<a:bigint,b:bigint>>, names array<string>")
+        found = stored(found.dropDuplicates(["digest"]), "hits")
+        every = found if every is None else every.union(found)
+    whole = every.groupBy("digest").agg(
+        F.first("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("ranges"))).alias("ranges"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("names")))).alias("names"),
+    )
+    none = F.struct(F.lit(0).cast("bigint").alias("to"), F.lit(0).cast("bigint").alias("n"))
+
+    def longer(so_far, x):
+        new = F.greatest(F.lit(0).cast("bigint"), x["b"] - F.greatest(x["a"], so_far["to"]))
+        return F.struct(F.greatest(so_far["to"], x["b"]).alias("to"), (so_far["n"] + new).alias("n"))
+
+    return whole.select("digest", "n_words", F.aggregate("ranges", none, longer)["n"].alias("n_hit"), "names")
+
+
+def _found_in_parts(documents: DataFrame, parts: list[DataFrame], window: int, share: int) -> DataFrame:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, texts in slices(batch):
+                n = np.diff(cut(texts, ALPHANUMERIC).first)
+                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(n)], names=["doc_id", "digest", "n_words"])
 
-def _searcher(documents: DataFrame, benchmark: DataFrame, item_id: str, item_text: str, window: int):
-    """A function for tasks that gives the patterns of the benchmark, which is broadcast after a check of its size."""
-    picked = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("i"), F.col(item_text).cast("string").alias("t")).where("t is not null")
-    size = picked.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0
-    if size > MOST_BENCHMARK_BYTES:
-        raise ValueError(f"{size} bytes of benchmark text; search for at most {MOST_BENCHMARK_BYTES} at a time")
-    items = documents.sparkSession.sparkContext.broadcast([(r.i, r.t.encode()) for r in picked.collect()])
-    return lambda: Patterns(items.value, window)
+    hits = _hits(documents, parts, "text", window).drop("n_words")
+    counted = documents.select("doc_id", _digest("text").alias("digest"), "text").mapInArrow(count, "doc_id bigint, digest string, n_words bigint")
+    joined = salted_lookup(counted, hits, ["digest"], ["doc_id"], salts=8, how="left")
+    n_hit, names = F.coalesce("n_hit", F.lit(0).cast("bigint")), F.coalesce("names", F.array().cast("array<string>"))
+    return joined.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size(names).cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(names, ",").cast("binary"), 256).alias("items_sha256"),
+        ((n_hit > 0) & (n_hit * share >= F.col("n_words"))).alias("contaminated"),
+    )
 
 
 def find_contamination(
@@ -167,7 +268,11 @@ def find_contamination(
     written as an empty string.  Repeated documents give repeated rows, and
     other columns are left out.  No hit: the digest of the empty string.
     """
-    build = _searcher(documents, benchmark, item_id, item_text, window)
+    picked = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    parts = _parts(_items(benchmark, item_id, item_text))
+    if len(parts) > 1:
+        return _found_in_parts(picked, parts, window, share)
+    build = _searcher(parts[0], window)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         patterns = build()
@@ -183,7 +288,7 @@ def find_contamination(
                     names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
                 )
 
-    return documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(scan, SCHEMA)
+    return picked.mapInArrow(scan, SCHEMA)
 
 
 def _contaminated(n: np.ndarray, hit: np.ndarray, share: int) -> np.ndarray:
@@ -194,8 +299,15 @@ def drop_contaminated(
     documents: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
     window: int = WINDOW, share: int = 20,
 ) -> DataFrame:
-    """``documents`` without the contaminated ones; all columns stay and nothing is shuffled."""
-    build = _searcher(documents, benchmark, item_id, item_text, window)
+    """``documents`` without the contaminated ones; all columns stay, and nothing is shuffled if one search holds the benchmark."""
+    parts = _parts(_items(benchmark, item_id, item_text))
+    if len(parts) > 1:
+        hits = _hits(documents, parts, text, window)
+        bad = stored(hits.where((F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words"))).select(F.col("digest").alias("__digest")), "contaminated")
+        if bad.count() <= MOST_BROADCAST:
+            bad = F.broadcast(bad)
+        return documents.join(bad, _digest(text) == F.col("__digest"), "left_anti")
+    build = _searcher(parts[0], window)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         patterns = build()

@@ -51,3 +51,20 @@ def test_without_items_or_documents(spark, docs):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert [r.n_hit for r in find_contamination(docs([(1, "some words")]), none).collect()] == [0]
     assert find_contamination(docs([]), none).count() == 0
+
+
+def test_a_benchmark_too_large_for_one_search(spark, docs, prose, odd, monkeypatch):
+    from sievewell.llm import wu_manber
+
+    monkeypatch.setattr(wu_manber, "MOST_BENCHMARK_BYTES", 500)
+    items = [(i, " ".join(prose(40, 70 + i))) for i in range(9)] + [(6, "short One"), (None, " ".join(prose(13, 90))), (2, "a b c d"), (8, None)]
+    items += [(20, " ".join(prose(40, 70)[10:30])), (21, " ".join(prose(300, 95)))]
+    rows = list(odd) + [(1000 + i, " ".join(prose(20 * i, 300 + i) + prose(40, 70 + i)[:30] + prose(40, 71 + i)[5:25] + prose(20 * i, 400 + i))) for i in range(8)]
+    rows += [(1001, rows[-1][1]), (2000, "one SHORT one"), (2001, " ".join(prose(300, 95)[50:90] + ["x"] * 800)), (2002, " ".join(prose(40, 70)[:31]))]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    assert len(wu_manber._parts(wu_manber._items(benchmark, "item_id", "text"))) > 4
+    want = sorted(((d, *brute(t, items)) for d, t in rows), key=str)
+    assert sorted((tuple(r) for r in find_contamination(docs(rows), benchmark).collect()), key=str) == want
+    left = drop_contaminated(docs(rows).withColumn("n_hit", F.lit("mine")), benchmark)
+    assert left.columns[-1] == "n_hit"
+    assert sorted((str(r.doc_id) for r in left.collect())) == sorted(str(w[0]) for w in want if not w[-1])
