@@ -6,7 +6,7 @@ from sievewell import schemas
 from sievewell.operators import cleaning as C
 from sievewell.plans import films as P
 
-from conftest import record
+from samples import record
 
 
 def cleaned(df, **options):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sievewell.functions import expressions as X
 
-from conftest import record
+from samples import record
 
 
 def value(spark, expression, **columns):

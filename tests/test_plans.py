@@ -50,7 +50,7 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 
 def test_nested_names_read_only_their_leaf(spark, tmp_path, raw_frame):
-    from conftest import record
+    from samples import record
 
     raw_frame(record(1)).write.parquet(str(tmp_path / "raw"))
     text = plan(C.flatten_arrays(spark.read.parquet(str(tmp_path / "raw")), ["genres"]).select("genres"))

@@ -7,7 +7,7 @@ from sievewell.operators import ranking as R
 from sievewell.operators import search as SE
 from sievewell.plans import films as P
 
-from conftest import record
+from samples import record
 
 
 def numbered(spark, values):

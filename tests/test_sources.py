@@ -11,7 +11,7 @@ from sievewell.plans import scratch
 from sievewell.sources import readers as RD
 from sievewell.sources import writers as WR
 
-from conftest import event, record
+from samples import event, record
 
 
 def test_ndjson_round_trip_with_absent_and_null_fields(spark, raw_frame, tmp_path):

@@ -20,7 +20,7 @@ from sievewell.streaming.progress import PROGRESS_LOG_SCHEMA, ProgressRecorder,
 from sievewell.streaming.runner import event_stream, run_stream, start_stream
 from sievewell.streaming.sink import ContractViolation, RoutedSink, partition_counts, read_counts, read_rejects
 
-from conftest import event
+from samples import event
 
 HEADER = ",".join(schemas.EVENT_COLUMNS)
 
