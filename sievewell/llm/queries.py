@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sievewell.llm import ledger
 from sievewell.llm.cross_polytope import near_vectors
 from sievewell.llm.factorisation import judge_quality
+from sievewell.llm.fill_middle import fill_in_middle, restored
 from sievewell.llm.ledger import query, table
 from sievewell.llm.licences import KNOWN, built_in, scan_licences, sql_canonical
 from sievewell.llm.minhash import Likeness, near_duplicates
@@ -194,6 +195,33 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+FILL_SQL = """
+WITH h AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || doc_id) AS d FROM documents),
+u AS (SELECT doc_id, t, length(t) AS n, {} FROM h),
+cut AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM u
+), parts AS (
+  SELECT *, substring(t, 1, low) AS p, substring(t, low + 1, high - low) AS m, substring(t, high + 1) AS s FROM cut
+)
+SELECT doc_id, n::BIGINT AS n, form,
+       CASE WHEN form <> 'plain' THEN low::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN (high - low)::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+""".format(", ".join(f"('0x' || substr(d, {8 * k + 1}, 8))::BIGINT AS h{k + 1}" for k in range(4)))
+
+
+@query("op12_fill_in_middle", FILL_SQL)
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    filled = fill_in_middle(table(spark, sf_dir, "documents"))
+    digests = F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256")
+    return filled.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 def queries() -> dict[str, ledger.Query]:
     return dict(ledger.runs)
 
