@@ -9,6 +9,7 @@ from sievewell.llm import ledger
 from sievewell.llm.cross_polytope import near_vectors
 from sievewell.llm.factorisation import judge_quality
 from sievewell.llm.fill_middle import fill_in_middle, restored
+from sievewell.llm.filter_audit import audit_filters
 from sievewell.llm.ledger import query, table
 from sievewell.llm.licences import KNOWN, built_in, scan_licences, sql_canonical
 from sievewell.llm.minhash import Likeness, near_duplicates
@@ -222,6 +223,52 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filled.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
 
 
+AUDIT_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), l AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), b AS (
+  SELECT part, (len(w) < 200)::INT AS a, (100 * len(list_distinct(w)) < 50 * len(w))::INT AS b,
+         (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t))::INT AS c, regexp_matches(t, '[#$%&*|]')::INT AS d,
+         coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), false)::INT AS e,
+         coalesce(good, false)::INT AS good, coalesce(toxic, false)::INT AS toxic
+  FROM d LEFT JOIN l ON d.doc_id = l.doc_id
+), f(letter) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+o AS (
+  SELECT f1.letter || f2.letter || f3.letter || f4.letter || f5.letter AS filter_order
+  FROM f f1, f f2, f f3, f f4, f f5
+  WHERE len(list_distinct([f1.letter, f2.letter, f3.letter, f4.letter, f5.letter])) = 5
+), s AS (SELECT filter_order, unnest(range(1, 6))::INT AS step FROM o),
+cells AS (SELECT part, a, b, c, d, e, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM b GROUP BY ALL),
+failed AS (
+  SELECT *, CASE WHEN a = 1 THEN 'A' ELSE '' END || CASE WHEN b = 1 THEN 'B' ELSE '' END || CASE WHEN c = 1 THEN 'C' ELSE '' END
+            || CASE WHEN d = 1 THEN 'D' ELSE '' END || CASE WHEN e = 1 THEN 'E' ELSE '' END AS fails
+  FROM cells
+), taken AS (
+  SELECT part, filter_order, step, n, good, toxic, filter_order[step] AS own,
+         contains(fails, filter_order[step]) AS here, fails = filter_order[step] AS alone,
+         length(translate(fails, filter_order[1:step - 1], '')) < length(fails) AS before
+  FROM failed, s
+), steps AS (
+  SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (NOT before AND NOT here), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (NOT before AND here), 0)::BIGINT AS removed, coalesce(sum(n) FILTER (before AND here), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (alone), 0)::BIGINT AS unique_fails, coalesce(sum(good) FILTER (NOT before AND here), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (NOT before AND here), 0)::BIGINT AS toxic_lost
+  FROM taken GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM steps
+"""
+
+
+@query("op13_filter_audit", AUDIT_SQL)
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, ledger.Query]:
     return dict(ledger.runs)
 
