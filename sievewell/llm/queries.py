@@ -12,6 +12,7 @@ from sievewell.llm.fill_middle import fill_in_middle, restored
 from sievewell.llm.filter_audit import audit_filters
 from sievewell.llm.ledger import query, table
 from sievewell.llm.licences import KNOWN, built_in, scan_licences, sql_canonical
+from sievewell.llm.markov import score_texts
 from sievewell.llm.minhash import Likeness, near_duplicates
 from sievewell.llm.mixing import mix
 from sievewell.llm.pii import report_private
@@ -196,6 +197,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op11_markov_scores")
+def op11_markov_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 FILL_SQL = """
 WITH h AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || doc_id) AS d FROM documents),
 u AS (SELECT doc_id, t, length(t) AS n, {} FROM h),
