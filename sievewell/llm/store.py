@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame
 from sievewell.plans.scratch import scratch_path
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     """``df`` written to shared storage and read back, so that lost executors cost no more than their own tasks."""
     path = scratch_path(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
