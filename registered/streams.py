@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from registered.book import register
@@ -9,8 +10,9 @@ from registered.events import staged_event_csv
 from registered.frames import TYPED_EVENTS_SQL
 from sievewell.operators import summaries as S
 from sievewell.operators import validation as V
-from sievewell.plans.scratch import scratch_path
+from sievewell.plans.scratch import materialized, scratch_path
 from sievewell.schemas import RAW_EVENT_SCHEMA
+from sievewell.streaming.commits import CommitLog
 from sievewell.streaming.keyed_table import KeyedParquetTable
 from sievewell.sources.readers import read_log_csv
 from sievewell.streaming.progress import PROGRESS_LOG_SCHEMA, ProgressRecorder
@@ -33,9 +35,9 @@ def new_sink(spark, distinct_stream: bool = False) -> RoutedSink:
     return RoutedSink(table, f"{base}/rejects", f"{base}/counts")
 
 
-def drained(spark, sf_dir, times: int = 1, distinct_stream: bool = False):
+def drained(spark, sf_dir, times: int = 1, distinct_stream: bool = False, sink: RoutedSink | None = None):
     """The sink after draining the staged files ``times`` times, each from a new checkpoint."""
-    source, sink = staged_event_csv(spark, sf_dir, files=FILES), new_sink(spark, distinct_stream)
+    source, sink = staged_event_csv(spark, sf_dir, files=FILES), sink or new_sink(spark, distinct_stream)
     for _ in range(times):
         query, _writer = run_stream(
             spark, source, sink, scratch_path(spark, "checkpoint"), once=True, rules=V.contract_rules(),
@@ -79,6 +81,72 @@ def stream_first_arrivals(spark, sf_dir):
     return stored(spark, sink)
 
 
+@register("stream_indexed", "SNK5 DED2 JON7 STR7", _STORED_SQL)
+def stream_indexed(spark, sf_dir):
+    """Delivered twice; stored keys are found in merged runs of the key index, through the filters of their buckets."""
+    base = scratch_path(spark, "sink")
+    table = KeyedParquetTable(f"{base}/events", compact_at=3, filter_from=0)
+    sink, _ = drained(spark, sf_dir, times=2, sink=RoutedSink(table, f"{base}/rejects", f"{base}/counts"))
+    return stored(spark, sink)
+
+
+class FailsOnce(CommitLog):
+    """Breaks off before the record of one batch, when its rows and rejects are written."""
+
+    failed = False
+
+    def add(self, spark, record):
+        if record["batch_id"] == 2 and not self.failed:
+            object.__setattr__(self, "failed", True)
+            raise OSError("no commit for batch 2")
+        super().add(spark, record)
+
+
+@register(
+    "stream_recovery",
+    "STR9 SNK3 SNK6 SNK7 STR3",
+    f"""
+WITH {_STRICT}, n AS (
+  SELECT count(*) AS received, count(*) FILTER (validation_reason IS NULL) AS inserted,
+         count(*) FILTER (validation_reason IS NOT NULL) AS rejected FROM routed
+), seen(moment, batches) AS (VALUES ('failed', 2::BIGINT), ('restarted', {FILES}::BIGINT))
+SELECT moment, batches, 0::BIGINT AS unmatched, CASE WHEN moment = 'restarted' THEN received END AS received,
+       CASE WHEN moment = 'restarted' THEN inserted END AS inserted, CASE WHEN moment = 'restarted' THEN rejected END AS rejected
+FROM seen, n""",
+)
+def stream_recovery(spark, sf_dir):
+    """A batch that fails between its writes and its commit, and the restart: what readers see of table, rejects and counts each time.
+
+    ``unmatched`` counts batches whose visible rows are not those of their counts.
+    """
+    base, shape = scratch_path(spark, "sink"), V.clean_events(spark.createDataFrame([], RAW_EVENT_SCHEMA)).schema
+    log = FailsOnce(f"{base}/counts")
+    sink = RoutedSink(KeyedParquetTable(f"{base}/events"), f"{base}/rejects", f"{base}/counts", log=log)
+    source, checkpoint = staged_event_csv(spark, sf_dir, files=FILES), scratch_path(spark, "checkpoint")
+
+    def seen(moment: str, whole: bool):
+        keys = ["stream_id", "batch_id"]
+        per_batch = [
+            rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+            for name, rows in (("in_table", sink.table.read(spark)), ("in_rejects", read_rejects(spark, sink.rejects_path, shape, sink.counts_path)))
+        ]
+        both = read_counts(spark, sink.counts_path).join(per_batch[0], keys, "full").join(per_batch[1], keys, "full").na.fill(0, ["in_table", "in_rejects"])
+        fits = F.col("inserted").eqNullSafe(F.col("in_table")) & F.col("rejected").eqNullSafe(F.col("in_rejects"))
+        return both.agg(
+            F.lit(moment).alias("moment"), F.count("received").alias("batches"), F.count_if(~fits).alias("unmatched"),
+            *[(F.sum(c) if whole else F.lit(None).cast("bigint")).alias(c) for c in ("received", "inserted", "rejected")],
+        )
+
+    run = dict(once=True, rules=V.contract_rules(), stream_id="recovered")
+    try:
+        run_stream(spark, source, sink, checkpoint, **run)
+    except StreamingQueryException:
+        # Kept, as the restart changes what there is to see.
+        failed = materialized(seen("failed", whole=False), "failed")
+    run_stream(spark, source, sink, checkpoint, **run)
+    return failed.unionByName(seen("restarted", whole=True))
+
+
 @register(
     "stream_rejected",
     "SNK6 FLT9 AGG6",
@@ -87,7 +155,7 @@ def stream_first_arrivals(spark, sf_dir):
 def stream_rejected(spark, sf_dir):
     sink, _ = drained(spark, sf_dir)
     shape = V.clean_events(spark.createDataFrame([], RAW_EVENT_SCHEMA)).schema
-    return S.reason_tally(read_rejects(spark, sink.rejects_path, shape))
+    return S.reason_tally(read_rejects(spark, sink.rejects_path, shape, sink.counts_path))
 
 
 @register(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sievewell import schemas
+from sievewell.streaming.commits import committed_only
 
 # Fixed value: file names of the per-partition reject files; or folders of a batch as Spark writes them.
 REJECT_FILE_PATTERN = r"rejected_batch_(\d+)(?:_part_\d+)?\.csv$"
@@ -80,9 +81,13 @@ def read_reject_csv(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     return named.filter(F.col("batch_id").isNotNull())
 
 
-def read_keyed_table(spark: SparkSession, path: str, schema: T.StructType = schemas.SINK_SCHEMA) -> DataFrame:
-    """SRC7: the keyed sink table, with its (stream_id, batch_id) partition columns."""
-    return spark.read.schema(schemas.with_batch_keys(schema)).parquet(path)
+def read_keyed_table(spark: SparkSession, path: str, schema: T.StructType = schemas.SINK_SCHEMA, commits: str | None = None) -> DataFrame:
+    """SRC7: the keyed sink table, with its (stream_id, batch_id) partition columns.
+
+    Of a sink with a commit log, pass its path to see committed batches only.
+    """
+    rows = spark.read.schema(schemas.with_batch_keys(schema)).parquet(path)
+    return rows if commits is None else committed_only(rows, commits, "inserted")
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:

@@ -14,6 +14,8 @@ from sievewell import schemas
 from sievewell.operators.cleaning import one_per_key
 from sievewell.plans.scratch import cached
 from sievewell.sources.readers import read_jdbc, read_keyed_table
+from sievewell.streaming.commits import committed_only
+from sievewell.streaming.key_index import COMPACT_AT, FILTER_FROM, KeyIndex
 
 _SAFE_ID = re.compile(r"[A-Za-z0-9_.-]+")
 
@@ -83,18 +85,19 @@ def unseen(rows: DataFrame, stored: DataFrame, key: str, facts: BatchFacts, broa
 class KeyedParquetTable:
     """A parquet table partitioned by (stream_id, batch_id), each key stored once.
 
-    One writer at a time is assumed.  Replaying a batch overwrites its own
-    partition and compares with all others, so it leaves the table as it was;
-    the same events under another stream id (a lost checkpoint) add nothing.
-    ``stored_filter`` may restrict which stored rows can hold a repeated key
-    (say, the last week), which bounds the read for keys without time order.
+    One writer at a time is assumed.  With ``commits`` (a sink's commit log)
+    only committed batches are read and compared, and stored keys are found by
+    a persistent index (``key_index``): the files that a batch opens are a few,
+    however many batches there were.  The same events under another stream id
+    (a lost checkpoint) add nothing.
+    ``stored_filter`` may instead restrict which stored rows can hold a
+    repeated key (say, the last week); all batches are then looked through.
     A batch is written as one file per ``rows_per_file`` counted rows, so that
     small batches do not leave many files (nor need a shuffle).
 
     ``distinct_stream`` says that a stream never hands over a key twice (see
     ``runner.first_arrivals``).  Only rows of other streams are then compared,
-    listed once per run, and not at all when there are none: the cost of a
-    batch no longer grows with the table.
+    listed once per run, and not at all when there are none.
     """
 
     path: str
@@ -105,6 +108,10 @@ class KeyedParquetTable:
     rows_per_file: int = 250_000
     stored_filter: Column | None = None
     distinct_stream: bool = False
+    commits: str | None = None
+    filter_from: int = FILTER_FROM
+    compact_at: int = COMPACT_AT
+    _index: list[KeyIndex] = field(default_factory=list, repr=False, compare=False)
     _elsewhere: dict[str, DataFrame | None] = field(default_factory=dict, repr=False, compare=False)
 
     def prepare(self, spark: SparkSession) -> None:
@@ -112,9 +119,10 @@ class KeyedParquetTable:
         empty = spark.createDataFrame([], schemas.with_batch_keys(self.schema))
         empty.write.mode("append").partitionBy(*schemas.BATCH_KEYS).parquet(self.path)
         self._elsewhere.clear()
+        self._index.clear()
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return read_keyed_table(spark, self.path, self.schema)
+        return read_keyed_table(spark, self.path, self.schema, self.commits)
 
     def plan_insert(self, rows: DataFrame, facts: BatchFacts) -> Callable[[], int]:
         """SNK5: an insert of the rows with new keys as the batch's partition.
@@ -122,7 +130,12 @@ class KeyedParquetTable:
         Calling it writes and returns how many rows that were.
         """
         spark = rows.sparkSession
-        stored = self._of_other_streams(spark, facts) if self.distinct_stream else self._of_other_batches(spark, facts)
+        if self.distinct_stream:
+            stored = self._of_other_streams(spark, facts)
+        elif self.commits is None or self.stored_filter is not None:
+            stored = self._of_other_batches(spark, facts)
+        else:
+            stored = self._indexed(spark, rows, facts)
         if stored is not None and self.stored_filter is not None:
             stored = stored.filter(self.stored_filter)
         new = rows if stored is None else unseen(rows, stored, self.key, facts, self.broadcast_limit)
@@ -144,6 +157,24 @@ class KeyedParquetTable:
 
         return insert
 
+    def index(self) -> KeyIndex:
+        """Kept for as long as this table object, as it holds what it has read of the index."""
+        if not self._index:
+            kind = self.schema[self.key].dataType
+            folder_of = lambda stream, batch: batch_folder(self.path, stream, batch)
+            self._index.append(KeyIndex(self.path, self.commits, self.key, kind, folder_of, self.filter_from, compact_at=self.compact_at))
+        return self._index[0]
+
+    def after_commit(self, spark: SparkSession, record: dict) -> None:
+        """The sink has committed a batch."""
+        if self.commits and self._index:
+            self.index().note(spark, record)
+
+    def _indexed(self, spark: SparkSession, rows: DataFrame, facts: BatchFacts) -> DataFrame | None:
+        own = (check_stream_id(facts.stream_id), facts.batch_id)
+        stored = self.index().stored(spark, rows.select(F.col(self.key).alias("key")), facts.key_from, facts.key_to, own)
+        return None if stored is None else stored.withColumnRenamed("key", self.key)
+
     def _of_other_batches(self, spark: SparkSession, facts: BatchFacts) -> DataFrame:
         stream = check_stream_id(facts.stream_id)
         return self.read(spark).filter(f"NOT (stream_id = '{stream}' AND batch_id = {facts.batch_id:d})")

@@ -6,7 +6,7 @@ Rows stay in DataFrames up to the writer: no per-partition Python function.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 from functools import cached_property
 from typing import Protocol
 
@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from sievewell import schemas
 from sievewell.operators.validation import first_failure, sink_rules, split_valid
 from sievewell.plans.scratch import cached
-from sievewell.streaming.keyed_table import BatchFacts, batch_folder, files_for
+from sievewell.streaming.commits import CommitLog, committed_only, read_counts  # noqa: F401
+from sievewell.streaming.keyed_table import BatchFacts, KeyedParquetTable, batch_folder, check_stream_id, files_for
 
 REASON = "validation_reason"
 
@@ -51,10 +52,14 @@ class BatchOutcome:
 class RoutedSink:
     """Valid rows to a keyed table, other rows to a reject table, counts to a log.
 
-    ``table`` receives valid rows, ``rejects_path`` and ``counts_path`` are
-    parquet folders partitioned by (stream_id, batch_id), so that a replayed
-    batch replaces its own output.  A valid row that the table's contract
-    does not admit fails the batch before anything is written.
+    ``table`` receives valid rows, ``rejects_path`` is a parquet folder
+    partitioned by (stream_id, batch_id), and ``counts_path`` holds the commit
+    log: a batch's record there, written when all else is, has its counts and
+    makes its inserted and rejected rows visible in the same moment.  A batch
+    that failed on the way is not seen, and is written over when it comes
+    again; a committed one that comes again is left as it is.  A valid row
+    that the table's contract does not admit fails the batch before anything
+    is written.
     """
 
     table: KeyedTable
@@ -63,6 +68,13 @@ class RoutedSink:
     event_types: tuple[str, ...] = schemas.EVENT_TYPES
     check_contract: bool = True
     rows_per_file: int = 250_000
+    log: CommitLog = field(default=None)
+
+    def __post_init__(self) -> None:
+        if self.log is None:
+            object.__setattr__(self, "log", CommitLog(self.counts_path))
+        if isinstance(self.table, KeyedParquetTable) and self.table.commits is None:
+            object.__setattr__(self, "table", replace(self.table, commits=self.counts_path, _index=[], _elsewhere={}))
 
     def prepare(self, spark: SparkSession) -> None:
         self.table.prepare(spark)
@@ -73,6 +85,10 @@ class RoutedSink:
         The source is read once: the batch is cached while one aggregate, the
         insert and the reject write use it.
         """
+        spark = batch.sparkSession
+        done = self.log.find(spark, check_stream_id(stream_id), batch_id)
+        if done is not None:
+            return BatchOutcome(**{f: done[f] for f in BatchOutcome.__dataclass_fields__})
         with cached(batch) as rows:
             facts, outcome = self._measure(rows, batch_id, stream_id)
             if outcome.received == 0:
@@ -90,7 +106,7 @@ class RoutedSink:
                 if rejecting is not None:
                     rejecting()
         final = BatchOutcome(stream_id, batch_id, outcome.received, inserted, outcome.rejected)
-        self._log(batch.sparkSession, final)
+        self._commit(spark, final, facts)
         return final
 
     @cached_property
@@ -136,16 +152,14 @@ class RoutedSink:
 
         return wait
 
-    def _log(self, spark: SparkSession, outcome: BatchOutcome) -> None:
-        """SNK7: one row per batch, replaced on replay."""
-        # A local relation: no Python worker and no generated code for one row.
-        row = spark.sql(
-            "SELECT * FROM VALUES "
-            f"({outcome.received}L, {outcome.inserted}L, {outcome.rejected}L) AS counts(received, inserted, rejected)"
-        )
-        row.coalesce(1).write.mode("overwrite").parquet(
-            batch_folder(self.counts_path, outcome.stream_id, outcome.batch_id)
-        )
+    def _commit(self, spark: SparkSession, outcome: BatchOutcome, facts: BatchFacts) -> None:
+        """SNK7: the batch's counts, and from here on its rows."""
+        bounds = [x if isinstance(x, str) else None for x in (facts.key_from, facts.key_to)]
+        record = {**vars(outcome), "key_from": bounds[0], "key_to": bounds[1]}
+        self.log.add(spark, record)
+        after = getattr(self.table, "after_commit", None)
+        if after is not None:
+            after(spark, record)
 
 
 def partition_counts(rows: DataFrame, valid: str = "is_valid") -> DataFrame:
@@ -157,11 +171,7 @@ def partition_counts(rows: DataFrame, valid: str = "is_valid") -> DataFrame:
     )
 
 
-def read_counts(spark: SparkSession, path: str) -> DataFrame:
-    """The counts log."""
-    return spark.read.schema(schemas.with_batch_keys(schemas.COUNTS_SCHEMA)).parquet(path)
-
-
-def read_rejects(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The reject table; ``schema`` is that of the validated rows."""
-    return spark.read.schema(schemas.with_batch_keys(schema)).parquet(path)
+def read_rejects(spark: SparkSession, path: str, schema, commits: str | None = None) -> DataFrame:
+    """The reject table; ``schema`` is that of the validated rows. With the sink's ``counts_path``, committed batches only."""
+    rows = spark.read.schema(schemas.with_batch_keys(schema)).parquet(path)
+    return rows if commits is None else committed_only(rows, commits, "rejected")
