@@ -64,6 +64,19 @@ for _spec in R.headline_specs(MIN_BUDGET, MIN_VOTES):
     )(_ranking(_spec))
 
 
+@register(
+    "rank_all",
+    "WIN1 WIN2 " + " ".join(f"WIN{n}" for n in _NUMBERS.values()) + " PRJ25 SRT1 LIM1 FLT4",
+    " UNION ALL ".join(f"SELECT '{s.name}' AS ranking, * FROM ({_ranking_sql(s)})" for s in R.headline_specs(MIN_BUDGET, MIN_VOTES)),
+)
+def rank_all(spark, sf_dir):
+    """The ten rankings from one read of the films."""
+    specs = R.headline_specs(MIN_BUDGET, MIN_VOTES)
+    metric = F.coalesce(*[F.when(F.col("ranking") == s.name, F.col(s.metric).cast("double")) for s in specs])
+    ranked = R.rank_all(films(spark, sf_dir), specs)
+    return ranked.select("ranking", "id", "title", metric.alias("metric"), F.col("rank").cast("bigint").alias("rank"), "rank_label")
+
+
 @register(
     "rank_labels_short_input",
     "WIN1 PRJ25 AGG13 UDF1 VAL4",

@@ -123,3 +123,39 @@ def build_rankings(
 ) -> Mapping[str, DataFrame]:
     """The ten headline rankings of a clean table."""
     return rank_by_specs(df, headline_specs(min_budget, min_votes), top_n=top_n, tie_break=tie_break)
+
+
+def rank_all(
+    df: DataFrame, specs: Sequence[RankSpec], *, top_n: int = 10, tie_break: Sequence[str] = ("id",)
+) -> DataFrame:
+    """WIN1-WIN12: every spec's ranking as one frame, from one read of ``df``.
+
+    Rows are those of ``rank_top`` for each spec, behind a column ``ranking``
+    with its name; a column of ``df`` called ``ranking``, ``rank`` or
+    ``rank_label`` is left out.  A row takes part once for each ranking that
+    it qualifies for; each task keeps the first ``top_n`` and three more of
+    each ranking, and only those are shuffled.  Metrics are compared as
+    doubles.
+    """
+    check_columns(df, [*[s.metric for s in specs], *tie_break])
+    entries = []
+    for number, s in enumerate(specs):
+        value = F.col(s.metric).cast("double")
+        # NULLs come last; NaN counts as the largest value.
+        lead = F.when(value.isNull(), 2).when(F.isnan(value), 1 if s.ascending else -1).otherwise(0)
+        entry = F.struct(
+            F.lit(number).alias("number"), lead.alias("lead"), F.nanvl(value if s.ascending else -value, F.lit(0.0)).alias("value")
+        )
+        entries.append(entry if s.floor is None else F.when(F.col(s.floor[0]) >= F.lit(s.floor[1]), entry))
+    kept = [c for c in df.columns if c not in ("ranking", "rank", "rank_label")]
+    row = df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.array_compact(F.array(*entries)).alias("entries"))
+    each = row.select("row", F.explode("entries").alias("entry"))
+    order = ["entry.lead", "entry.value", *[F.col(f"row.`{c}`").asc_nulls_last() for c in tie_break]]
+    head = each.withColumn("rank", F.row_number().over(W.partitionBy("entry.number").orderBy(*order))).filter(F.col("rank") <= top_n + END_ROWS)
+    seen = F.count(F.lit(1)).over(W.partitionBy("entry.number"))
+    names = F.array(*[F.lit(s.name) for s in specs])
+    return (
+        head.withColumn("rank_label", rank_label(F.col("rank"), seen))
+        .filter(F.col("rank") <= top_n)
+        .select(F.get(names, F.col("entry.number")).alias("ranking"), "row.*", "rank", "rank_label")
+    )

@@ -36,6 +36,15 @@ def test_top_n_is_a_bounded_pass(spark):
     assert text.count("FileScan") == 2
 
 
+def test_all_rankings_read_once_and_limit_before_the_shuffle(spark):
+    orders = table(spark, SF_DIR, "orders").select("o_orderkey", "o_totalprice", "o_custkey")
+    specs = [R.RankSpec("a", "o_totalprice"), R.RankSpec("b", "o_custkey", ascending=True, floor=("o_totalprice", 10.0)), R.RankSpec("c", "o_custkey")]
+    text = plan(R.rank_all(orders, specs, tie_break=["o_orderkey"]))
+    assert text.count("FileScan") == 1
+    partial, exchange = text.rindex("WindowGroupLimit"), text.rindex("Exchange hashpartitioning")
+    assert "Partial" in text[partial:] and partial > exchange
+
+
 def test_one_per_key_limits_before_the_shuffle(spark):
     text = plan(C.one_per_key(table(spark, SF_DIR, "lineitem"), "l_orderkey", ["l_linenumber"]))
     partial, exchange = text.rindex("WindowGroupLimit"), text.rindex("Exchange hashpartitioning")

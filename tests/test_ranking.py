@@ -54,6 +54,21 @@ def test_ten_named_rankings_and_floors(raw_frame):
     assert rankings["lowest_roi"].first().id == 3
 
 
+@pytest.mark.parametrize("top_n", [1, 10])
+def test_all_rankings_at_once_are_the_single_ones(spark, top_n):
+    values = [3.0, None, float("nan"), -0.0, 0.0, 3.0, float("-inf"), float("inf"), -5.5, 7.0, 7.0, 1.0, 2.0, 4.0, 8.0]
+    df = spark.createDataFrame([(i, v, i % 4, f"t{i}") for i, v in enumerate(values * 2)], "id long, m double, votes int, rank string").repartition(5)
+    specs = [
+        R.RankSpec("up", "m", ascending=True), R.RankSpec("down", "m"), R.RankSpec("few", "m", floor=("votes", 3)),
+        R.RankSpec("none", "m", floor=("votes", 9)), R.RankSpec("whole", "votes", ascending=True, floor=("m", 6.0)),
+    ]
+    every = R.rank_all(df, specs, top_n=top_n).collect()
+    for name, single in R.rank_by_specs(df, specs, top_n=top_n).items():
+        got = sorted((r["rank"], r.id, str(r.m), r.rank_label) for r in every if r.ranking == name)
+        assert got == [(r["rank"], r.id, str(r.m), r.rank_label) for r in single.collect()]
+    assert every[0].asDict().keys() == {"ranking", "id", "m", "votes", "rank", "rank_label"}
+
+
 def test_label_as_sql_function(spark):
     R.register_rank_label(spark)
     row = spark.sql("SELECT rank_label(1, 2) a, rank_label(5, 6) b, rank_label(5, 50) c").first()
