@@ -176,7 +176,7 @@ def _compare(group: Group, least: float, wide: str) -> tuple[np.ndarray, np.ndar
             met = np.full(len(a), ours.shape[1])
             for t in reversed(range(ours.shape[1])):
                 met[(theirs == ours[:, t : t + 1]).any(axis=1)] = t
-            here = ours[np.arange(len(a)), np.minimum(met, ours.shape[1] - 1)] == group["bucket"][:1].astype(np.uint32)
+            here = ours[np.arange(len(a)), np.minimum(met, ours.shape[1] - 1)] == group["bucket"][:1]
             np.add.at(links, a[here], group["copies"][b[here]])
             if not same_side:
                 np.add.at(links, b[here], group["copies"][a[here]])
@@ -224,7 +224,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, vec_id: str = "vec_id"
     def columns(batch: pa.RecordBatch) -> Group:
         out = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "low", "high", "own", "node", "copies")}
         out["vector"] = np.array(batch.column("vector").to_pylist(), dtype=object)
-        out["tags"] = np.asarray(batch.column("buckets").flatten()).astype(np.uint32).reshape(batch.num_rows, -1)
+        out["tags"] = np.asarray(batch.column("buckets").flatten()).reshape(batch.num_rows, -1)
         return out
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

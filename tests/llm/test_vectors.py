@@ -53,3 +53,15 @@ def test_recall_at_the_threshold():
     x, y = buckets(a), buckets(near)
     assert (x[:, :, None] == y[:, None, :]).any(axis=(1, 2)).mean() > 0.99
     assert (x[:, :, None] == np.roll(x, 1, axis=0)[:, None, :]).any(axis=(1, 2)).mean() < 0.01
+
+
+def test_buckets_that_agree_in_half_their_bits_are_different_buckets():
+    """The pair's first common bucket is the second of both, though the first ones share 32 bits."""
+    low = 0x1234_5678
+    vectors = [np.array([1.0, 0.0], dtype="<f8").tobytes(), np.array([1.0, 0.01], dtype="<f8").tobytes()]
+    group = {
+        "bucket": np.array([99, 99]), "low": np.array([0, 0]), "high": np.array([0, 0]), "own": np.array([0, 0]), "node": np.array([5, 6]),
+        "copies": np.array([1, 1]), "vector": np.array(vectors, dtype=object), "tags": np.array([[(1 << 40) + low, 99], [(2 << 40) + low, 99]]),
+    }
+    links, _, _ = cross_polytope._compare(group, 0.95, "<f8")
+    assert links.tolist() == [1, 1]
