@@ -102,8 +102,21 @@ class _SameLength:
         return text, pattern
 
 
+def _distinct(hashes: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ends in an order that brings equal windows together, and a number for each different window."""
+    whole = np.zeros(len(ends), dtype=np.uint64)
+    for back in range(length):
+        whole = mix(whole + hashes[ends - back] * np.uint64(2 * back + 3))
+    ends = ends[np.argsort(whole, kind="stable")]
+    whole.sort()
+    new = whole[1:] != whole[:-1]
+    for back in range(length):
+        new |= hashes[ends[1:] - back] != hashes[ends[:-1] - back]
+    return ends, np.concatenate(([0], np.cumsum(new)))
+
+
 class Patterns:
-    """All windows of the benchmark's items."""
+    """All different windows of the benchmark's items, each with the items that hold it."""
 
     def __init__(self, items: list[tuple[str, bytes]], window: int = WINDOW):
         self.names = [name for name, _ in items]
@@ -116,10 +129,23 @@ class Patterns:
         for d in np.flatnonzero(n):
             length = min(int(n[d]), window)
             ends.setdefault(length, []).append(np.arange(first[d] + length - 1, first[d + 1]))
-        self.tables = [_SameLength.build(self.hashes, np.concatenate(e), length) for length, e in sorted(ends.items())]
+        self.tables, self.window_of, owners = [], np.full(len(self.hashes), -1, dtype=np.int64), [np.zeros((0, 2), dtype=np.int64)]
+        self.count = 0
+        for length, e in sorted(ends.items()):
+            place, window_id = _distinct(self.hashes, np.concatenate(e), length)
+            _, kept = np.unique(window_id, return_index=True)
+            self.window_of[place[kept]] = np.arange(len(kept)) + self.count
+            owners.append(np.unique(np.stack([window_id + self.count, self.item[place]], axis=1), axis=0))
+            self.tables.append(_SameLength.build(self.hashes, np.sort(place[kept]), length))
+            self.count += len(kept)
+        owned = np.concatenate(owners)
+        self.owners, self.owned_from = owned[:, 1], np.searchsorted(owned[:, 0], np.arange(self.count + 1))
+
+    def items_of(self, window: int) -> np.ndarray:
+        return self.owners[self.owned_from[window] : self.owned_from[window + 1]]
 
     def occurrences(self, text: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Confirmed (end in the text, length, item) of every window."""
+        """Confirmed (end in the text, length, window) of every different window."""
         hashes = text.hashes()
         out = [(np.zeros(0, np.int64),) * 3]
         for table in self.tables:
@@ -133,9 +159,9 @@ class Patterns:
                 dtype=bool, count=len(at),
             )
             at, pattern = at[sure], pattern[sure]
-            out.append((at, np.full(len(at), table.length), self.item[pattern]))
-        at, length, item = (np.concatenate(x) for x in zip(*out))
-        return at, length, item
+            out.append((at, np.full(len(at), table.length), self.window_of[pattern]))
+        at, length, window = (np.concatenate(x) for x in zip(*out))
+        return at, length, window
 
     @staticmethod
     def _spelled(words: Words, end: int, length: int) -> list[bytes]:
@@ -144,14 +170,15 @@ class Patterns:
 
 def _marked(patterns: Patterns, words: Words) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
     """Where windows end; +1 and -1 where they begin and are over; the items' names of each text."""
-    at, length, item = patterns.occurrences(words)
+    at, length, window = patterns.occurrences(words)
     edge = np.zeros(len(words.start) + 1, dtype=np.int64)
     np.add.at(edge, at - length + 1, 1)
     np.add.at(edge, at + 1, -1)
     doc = np.searchsorted(words.first, at, side="right") - 1
     items: list[set[str]] = [set() for _ in words.first[1:]]
-    for d, i in set(zip(doc.tolist(), item.tolist())):
-        items[d].add(patterns.names[i])
+    met = np.unique(np.stack([doc, window], axis=1), axis=0)
+    for d, w in met.tolist():
+        items[d].update(patterns.names[i] for i in patterns.items_of(w))
     return at, edge, [sorted(s) for s in items]
 
 

@@ -68,3 +68,19 @@ def test_a_benchmark_too_large_for_one_search(spark, docs, prose, odd, monkeypat
     left = drop_contaminated(docs(rows).withColumn("n_hit", F.lit("mine")), benchmark)
     assert left.columns[-1] == "n_hit"
     assert sorted((str(r.doc_id) for r in left.collect())) == sorted(str(w[0]) for w in want if not w[-1])
+
+
+def test_repeated_words_in_both_tables_take_no_more_than_their_places(spark, docs):
+    """Every window of the items is the same one, and occurs at every place of the texts."""
+    from sievewell.llm.words import ALPHANUMERIC, cut
+    from sievewell.llm.wu_manber import Patterns
+
+    items = [(str(i), b"the " * 5000) for i in range(3)] + [("short", b"the the")]
+    patterns = Patterns(items)
+    assert patterns.count == 2
+    at, _, window = patterns.occurrences(cut([b"the " * 20_000], ALPHANUMERIC))
+    assert len(at) == 20_000 - 12 + 20_000 - 1 and {tuple(patterns.items_of(w)) for w in set(window.tolist())} == {(0, 1, 2), (3,)}
+    benchmark = spark.createDataFrame([(n, t.decode()) for n, t in items], "item_id string, text string")
+    (got,) = find_contamination(docs([(1, "x " + "the " * 20_000)]), benchmark).collect()
+    assert (got.n_words, got.n_hit, got.n_items) == (20_001, 20_000, 4)
+    assert got.items_sha256 == hashlib.sha256(b"0,1,2,short").hexdigest()
