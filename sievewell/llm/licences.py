@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievewell.plans.skew import salted_lookup
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Most known licences to broadcast; more are joined by a shuffle.
 MOST_BROADCAST = 50_000
@@ -31,8 +33,12 @@ WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEM
 COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
 OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
 
-# Known licences and notices.
-KNOWN = (
+# Known licences and notices, and titles that whole texts may carry.
+TITLES = (
+    ("MIT", "MIT License"), ("MIT", "The MIT License"), ("MIT", "The MIT License (MIT)"), ("MIT", "MIT License (MIT)"),
+    ("ISC", "ISC License"), ("ISC", "The ISC License"), ("ISC", "ISC License (ISC)"), ("ISC", "ISC License (ISCL)"),
+)
+_TEXTS = (
     ("MIT", f"""Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
 documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
 rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
@@ -53,6 +59,7 @@ CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION W
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("all-rights-reserved", "All rights reserved."),
 )
+KNOWN = _TEXTS + tuple((name, f"{title}\n\n{dict(_TEXTS[:2])[name]}") for name, title in TITLES)
 
 
 def canonical(text: Column) -> Column:
@@ -99,14 +106,16 @@ def scan_licences(documents: DataFrame, known: DataFrame, doc_id: str = "doc_id"
 
     ``license`` is that of the whole text; ``notices`` names, sorted and joined
     by commas, the licences that lines of the text state, each line taken as a
-    whole text ('' if there are none).  Documents sharing an id share notices.
+    whole text ('' if there are none).  Notices belong to a text, so that
+    copies share them and rows that only share an id (or have none) do not.
     """
     texts = documents.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    whole = match_licences(texts, known).select("doc_id", "digest", "license")
-    lines = texts.select("doc_id", F.explode(F.split("text", "\n", -1)).alias("text"))
-    stated = match_licences(lines, known, how="inner").select("doc_id", "license").distinct()
-    notices = stated.groupBy(F.col("doc_id").alias("__id")).agg(F.array_join(F.array_sort(F.collect_set("license")), ",").alias("notices"))
-    joined = whole.join(notices, F.col("doc_id").eqNullSafe(F.col("__id")), "left")
+    exact = texts.select("*", F.sha2(F.col("text"), 256).alias("exact"))
+    whole = match_licences(exact, known).select("doc_id", "exact", "digest", "license")
+    lines = exact.select("exact", F.explode(F.split("text", "\n", -1)).alias("text"))
+    stated = match_licences(lines, known, how="inner").select("exact", "license").distinct()
+    notices = stated.groupBy("exact").agg(F.array_join(F.array_sort(F.collect_set("license")), ",").alias("notices"))
+    joined = salted_lookup(whole, notices, ["exact"], ["doc_id"], salts=8, how="left")
     return joined.select("doc_id", "digest", "license", F.coalesce("notices", F.lit("")).alias("notices"))
 
 

@@ -119,7 +119,11 @@ class Rates:
 
 
 def fit_rates(members: DataFrame, targets: Mapping[str, float], classifier: Classifier) -> Rates:
-    """Projected gradient steps; ``targets`` are shares of all tokens by domain (others 0), scaled to sum to 1.
+    """Projected gradient steps; ``targets`` are shares of all tokens by domain (others 0).
+
+    They are scaled to sum to 1 over the domains that the classifier knows, so
+    that the mix keeps its size where a target's domain has no documents.
+    Without a target for any of them all rates are 1.
 
     The misses are relative to the square roots of the domains' own shares,
     which makes the steps of rare domains as large as those of common ones.
@@ -128,7 +132,7 @@ def fit_rates(members: DataFrame, targets: Mapping[str, float], classifier: Clas
     count = len(classifier.domains)
     expected = [F.sum(F.col("tokens") * F.get("p", k)).alias(f"x{k}") for k in range(count)]
     first = members.agg(F.sum("tokens").alias("t"), *expected).first()
-    total, weight = float(first.t or 0), sum(targets.values())
+    total, weight = float(first.t or 0), sum(targets.get(d, 0.0) for d in classifier.domains)
     if not total or not weight or not count:
         return Rates((), 0.0)
     goal = [targets.get(d, 0.0) / weight for d in classifier.domains]

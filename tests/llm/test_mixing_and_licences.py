@@ -28,6 +28,17 @@ def test_expected_tokens_meet_their_targets(spark, docs):
     assert both.count() == 300 and set(both.columns) == {*frame.columns, "rate", "copies"}
 
 
+def test_targets_of_absent_domains_are_shared_out(spark, docs):
+    """As in the pipeline, whose toxicity stage leaves no toxic document."""
+    frame, domains = corpus(docs)
+    labelled = spark.createDataFrame(domains[:150], "doc_id bigint, domain string")
+    rated, classifier = mix(frame, labelled, {"red": 0.18, "blue": 0.09, "grey": 0.63, "toxic": 0.1})
+    sums = rated.agg(F.sum("tokens").alias("t"), *[F.sum(F.col("rate") * F.col("tokens") * F.get("p", k)).alias(d) for k, d in enumerate(classifier.domains)]).first()
+    assert [sums[d] / sums.t for d in ("red", "blue", "grey")] == pytest.approx([0.2, 0.1, 0.7], abs=0.02)
+    assert sum(sums[d] for d in classifier.domains) / sums.t == pytest.approx(1, abs=0.01)
+    assert {r.rate for r in mix(frame, labelled, {"toxic": 1.0})[0].collect()} == {1.0}
+
+
 def test_mixing_odd_rows(spark, docs, odd):
     rated, _ = mix(docs(odd), spark.createDataFrame([(4, "a"), (5, "b"), (None, "c"), (6, None)], "doc_id bigint, domain string"), {"a": 1})
     assert sorted((r.doc_id for r in rated.collect()), key=str) == [1, 2, 3, 4, 5, 6, 7, None]
@@ -49,4 +60,11 @@ def test_licences_in_other_spellings(spark, docs, odd):
     assert got[11].license is None and got[12].license is None and got[14].license is None
     assert got[14].notices == "CC-BY-NC-4.0,all-rights-reserved" and got[12].notices == ""
     assert all(got[i].license is None and got[i].notices == "" for i in (1, 2, 3, 4, 5, None))
+    titled = [(20, "MIT License\n\nCopyright (c) 2024 Some One\n\n" + mit), (21, "The MIT License (MIT)\n\n" + mit), (22, "ISC License\n\n" + KNOWN[1][1])]
+    assert {r.doc_id: r.license for r in scan_licences(docs(titled), built_in(spark)).collect()} == {20: "MIT", 21: "MIT", 22: "ISC"}
+    # Notices are a text's own, whatever its id.
+    shared = [(None, "Prose.\nReleased under the MIT License."), (None, "Prose alone."), (7, "All rights reserved.\nx"), (7, "y"), (7, "All rights reserved.\nx")]
+    assert sorted((str(r.doc_id), r.notices) for r in scan_licences(docs(shared), built_in(spark)).collect()) == [
+        ("7", ""), ("7", "all-rights-reserved"), ("7", "all-rights-reserved"), ("None", ""), ("None", "MIT"),
+    ]
     assert match_licences(docs(rows), built_in(spark)).count() == len(rows) and scan_licences(docs([]), built_in(spark)).count() == 0
