@@ -74,6 +74,13 @@ def canonical(text: Column) -> Column:
     return F.trim(out)
 
 
+def first_word(line: Column) -> Column:
+    """First word of the canonical form of a text of one line, unless that form is empty; no more of the line is looked at."""
+    word = F.translate(F.regexp_extract(line, r"[A-Za-z0-9\x{80}-\x{10FFFF}]+", 0), _UPPER, _LOWER)
+    spellings = F.create_map(*[F.lit(x) for pair in EQUIVALENT for x in pair])
+    return F.substring_index(F.coalesce(F.element_at(spellings, word), word), " ", 1)
+
+
 def digest(text: Column) -> Column:
     return F.sha2(canonical(text).cast("binary"), 256)
 
@@ -113,6 +120,11 @@ def scan_licences(documents: DataFrame, known: DataFrame, doc_id: str = "doc_id"
     exact = texts.select("*", F.sha2(F.col("text"), 256).alias("exact"))
     whole = match_licences(exact, known).select("doc_id", "exact", "digest", "license")
     lines = exact.select("exact", F.explode(F.split("text", "\n", -1)).alias("text"))
+    # Only lines that begin as some known text does are made canonical.
+    beginnings = known.select(F.substring_index(canonical(F.col("text")), " ", 1).alias("begins")).where("begins != ''").distinct()
+    if beginnings.count() <= MOST_BROADCAST:
+        beginnings = F.broadcast(beginnings)
+    lines = lines.withColumn("begins", first_word(F.col("text"))).join(beginnings, "begins", "left_semi").drop("begins")
     stated = match_licences(lines, known, how="inner").select("exact", "license").distinct()
     notices = stated.groupBy("exact").agg(F.array_join(F.array_sort(F.collect_set("license")), ",").alias("notices"))
     joined = salted_lookup(whole, notices, ["exact"], ["doc_id"], salts=8, how="left")

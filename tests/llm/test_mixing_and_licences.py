@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from sievewell.llm.licences import KNOWN, built_in, match_licences, scan_licences
+from sievewell.llm.licences import EQUIVALENT, KNOWN, built_in, canonical, first_word, match_licences, scan_licences
 from sievewell.llm.mixing import mix, with_rates
 
 
@@ -68,3 +68,10 @@ def test_licences_in_other_spellings(spark, docs, odd):
         ("7", ""), ("7", "all-rights-reserved"), ("7", "all-rights-reserved"), ("None", ""), ("None", "MIT"),
     ]
     assert match_licences(docs(rows), built_in(spark)).count() == len(rows) and scan_licences(docs([]), built_in(spark)).count() == 0
+
+
+def test_first_words_are_those_of_canonical_lines(spark):
+    lines = [f"{a}{w}{b}" for w, _ in EQUIVALENT for a, b in (("", " x"), ("** ", ""), ("\t", ", y"), ("", "z q"))]
+    lines += ["", "  ", "--", "\u00a9 2020 me", "\u00a9me", "(c) 2020 x", "(C) someone", "copyright 2020", "Copyright holders", "\u00c9cole A", "a\u0301b c", "\r", "\U0001f600 x"]
+    got = spark.createDataFrame([(x,) for x in lines], "t string").select(canonical(F.col("t")).alias("c"), first_word(F.col("t")).alias("f")).collect()
+    assert all(r.c == "" or r.c.split(" ")[0] == r.f for r in got)
