@@ -1,9 +1,10 @@
 """Language identification by unigram pieces, summed over all segmentations.
 
 The pieces are those of a fixed public vocabulary, given as a file of base64
-pieces with ranks.  Each language has a probability per piece; a word's
-probability is the sum over every way of cutting it into pieces, which a
-forward pass computes in time linear in its length.  Probabilities are fitted
+pieces with ranks.  Each language has a probability per piece; the
+probability of a word (a whole run of letters, with the space before it) is
+the sum over every way of cutting it into pieces, which a forward pass
+computes in time linear in its length.  Probabilities are fitted
 by expectation maximisation (forward and backward passes) on the words of a
 bounded labelled sample, whose counts Spark gathers and whose expectations it
 sums.
@@ -25,12 +26,15 @@ from sievewell.llm.store import stored
 from sievewell.llm.words import Words, cut, mix, slices
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
-#: Longer pieces are left out, longer runs of letters are read in parts.
-LONGEST_PIECE = 10
-LONGEST_WORD = 24
+#: Up to so many bytes probabilities are multiplied as they are; longer words are summed as logarithms.
+SHORT_WORD = 25
+#: Bytes of words times languages that are worked on at once (a word is never cut).
+BLOCK = 1 << 20
 #: Labelled texts to learn from, at most, and rounds of expectation maximisation.
 MOST_LABELLED = 8_000
 ROUNDS = 3
+#: A model holds a probability for each piece and language, so it is refused beyond so many languages.
+MOST_LANGUAGES = 1_000
 UNKNOWN = "und"
 #: Words whose scores a worker remembers.
 REMEMBERED = 200_000
@@ -39,14 +43,14 @@ _LETTERS = np.zeros(256, dtype=bool)
 _LETTERS[[*range(ord("a"), ord("z") + 1), *range(0x80, 0x100)]] = True
 _BASE = np.uint64(0x2545F4914F6CDD1D)
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64))
-_POWERS = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(LONGEST_WORD, _BASE)]))
 
 
 def read_vocabulary(path: str = VOCABULARY) -> list[bytes]:
-    """Pieces of letters only, and every single byte, so that each word has a segmentation."""
+    """Pieces that can be part of a word: letters, at most with a space before them; and every single byte, so that each word has a segmentation."""
     with open(path, "rb") as file:
         pieces = {base64.b64decode(line.split()[0]) for line in file if line.strip()}
-    usable = {p for p in pieces if 1 < len(p) <= LONGEST_PIECE and _LETTERS[np.frombuffer(p, np.uint8)].all()}
+    bare = {p: p.removeprefix(b" ") for p in pieces}
+    usable = {p for p, letters in bare.items() if len(p) > 1 and letters and _LETTERS[np.frombuffer(letters, np.uint8)].all()}
     return [bytes([b]) for b in range(256)] + sorted(usable)
 
 
@@ -55,6 +59,7 @@ class Pieces:
 
     def __init__(self, pieces: list[bytes]):
         self.count = len(pieces)
+        self.sizes = sorted({len(p) for p in pieces})
         self.hashes = np.array([self._hash(p) for p in pieces], dtype=np.uint64)
         self.tables: list[np.ndarray] = []
         left = np.arange(self.count)
@@ -89,91 +94,127 @@ class Pieces:
         return out
 
 
+def blocks(length: np.ndarray, languages: int) -> Iterator[np.ndarray]:
+    """Words by length in blocks of bounded work, a block's words either all short or all long."""
+    order = np.argsort(length, kind="stable")
+    filled = np.cumsum(length[order]) * max(languages, 1) // BLOCK * 2 + (length[order] > SHORT_WORD)
+    for block in np.split(order, np.flatnonzero(np.diff(filled)) + 1):
+        if len(block):
+            yield block
+
+
 @dataclass
 class Lattice:
-    """Words of one slice, longest first, and for every end and length the piece that fits there."""
+    """Words of one block, and the pieces that end after each number of bytes: ``steps`` holds (end, size, words, pieces), ends rising."""
 
-    order: np.ndarray
-    alive: np.ndarray  # words with at least so many bytes
-    piece: dict[tuple[int, int], np.ndarray]
+    length: np.ndarray
+    longest: int  # size of the longest piece met
+    steps: list[tuple[int, int, np.ndarray, np.ndarray]]
 
     @classmethod
     def of(cls, pieces: Pieces, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> Lattice:
         length = end - start
-        order = np.argsort(-length, kind="stable")
-        start, length = start[order], length[order]
-        most = int(length[0]) if len(length) else 0
-        alive = np.searchsorted(-length, -np.arange(most + 1), side="right")
-        prefix = np.zeros((most + 1, len(start)), dtype=np.uint64)
-        found = {}
-        for j in range(1, most + 1):
-            n = alive[j]
-            prefix[j, :n] = prefix[j - 1, :n] * _BASE + _BYTES[data[start[:n] + j - 1]]
-            for size in range(1, min(j, LONGEST_PIECE) + 1):
-                found[j, size] = pieces.find(prefix[j, :n] - prefix[j - size, :n] * _POWERS[size])
-        return cls(order, alive, found)
-
-    def forward(self, p: np.ndarray) -> np.ndarray:
-        """alpha[j, word, language]: probability of the first j bytes; ``p`` has a last row of zeros."""
-        most = len(self.alive) - 1
-        alpha = np.zeros((most + 1, len(self.order), p.shape[1]))
-        alpha[0] = 1
-        for j in range(1, most + 1):
-            n = self.alive[j]
-            for size in range(1, min(j, LONGEST_PIECE) + 1):
-                alpha[j, :n] += alpha[j - size, :n] * p[self.piece[j, size]]
-        return alpha
-
-    def lengths(self) -> np.ndarray:
-        counts = -np.diff(np.append(self.alive, 0))
-        return np.repeat(np.arange(len(counts))[::-1], counts[::-1])
+        before = np.cumsum(length) - length
+        word = np.repeat(np.arange(len(length)), length)
+        at = np.arange(len(word)) - before[word] + 1
+        value = _BYTES[data[start[word] + at - 1]]
+        most = int(length.max()) if len(length) else 0
+        window, met = np.zeros(len(word), np.uint64), []
+        for size in range(1, min(most, pieces.sizes[-1]) + 1):
+            # Hash of the last ``size`` bytes up to each byte, from that of one byte less.
+            window[1:] = window[:-1] * _BASE
+            window[:1] = 0
+            window += value
+            if size in pieces.sizes:
+                fits = np.flatnonzero(at >= size)
+                piece = pieces.find(window[fits])
+                there = piece < pieces.count
+                fits = fits[there]
+                met.append((at[fits] * np.int64(256) + size, word[fits], piece[there]))
+        if not met:
+            return cls(length, 1, [])
+        key, rows, piece = (np.concatenate(x) for x in zip(*met))
+        order = np.argsort(key, kind="stable")
+        key, rows, piece = key[order], rows[order], piece[order]
+        edges = np.concatenate(([0], np.flatnonzero(np.diff(key)) + 1, [len(key)]))
+        steps = [(int(key[i]) >> 8, int(key[i]) & 255, rows[i:j], piece[i:j]) for i, j in zip(edges[:-1], edges[1:])]
+        return cls(length, max(size for _, size, _, _ in steps), steps)
+
+    def _linear(self) -> bool:
+        return not len(self.length) or self.length.max() <= SHORT_WORD
 
     def log_scores(self, p: np.ndarray) -> np.ndarray:
-        """log probability of every word, in the order given."""
-        alpha = self.forward(p)
-        out = np.empty(alpha.shape[1:])
-        out[self.order] = np.log(alpha[self.lengths(), np.arange(len(self.order))])
-        return out
+        """log probability of every word; ``p`` has a row for each piece.  Only the last ends that a piece can reach back to are kept."""
+        linear, kept = self._linear(), self.longest + 1
+        q = p if linear else _logs(p)
+        nothing, first = (0.0, 1.0) if linear else (-np.inf, 0.0)
+        ring = np.full((kept, len(self.length), p.shape[1]), nothing)
+        ring[0] = first
+        out = np.full(ring.shape[1:], first)
+        by_length = np.argsort(self.length, kind="stable")
+        ends = np.searchsorted(self.length[by_length], np.arange(int(self.length.max(initial=0)) + 2))
+        done = 0
+        for end, size, rows, piece in [*self.steps, (len(ends) - 1, 0, None, None)]:
+            while done < end:
+                ready = by_length[ends[done] : ends[done + 1]]
+                out[ready] = ring[done % kept, ready]
+                done += 1
+                ring[done % kept] = nothing
+            if size:
+                now, then = ring[end % kept], ring[(end - size) % kept]
+                if linear:
+                    now[rows] += then[rows] * q[piece]
+                else:
+                    now[rows] = np.logaddexp(now[rows], then[rows] + q[piece])
+        return _logs(out) if linear else out
 
     def expected(self, p: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        """Expected uses of each piece in words occurring ``weight`` times (word, language)."""
-        alpha = self.forward(p)
-        most = len(alpha) - 1
-        lengths = self.lengths()
-        beta = np.zeros_like(alpha)
-        whole = alpha[lengths, np.arange(len(lengths))]
-        beta[lengths, np.arange(len(lengths))] = weight[self.order] / whole
-        out = np.zeros(p.shape)
-        for j in range(most, 0, -1):
-            n = self.alive[j]
-            for size in range(1, min(j, LONGEST_PIECE) + 1):
-                piece = self.piece[j, size]
-                use = beta[j, :n] * p[piece]
-                beta[j - size, :n] += use
-                use = use * alpha[j - size, :n]
-                for g in range(p.shape[1]):
-                    out[:, g] += np.bincount(piece, weights=use[:, g], minlength=len(p))
+        """Expected uses of each piece in words of one language occurring ``weight`` times; ``p`` is that language's."""
+        linear, n = self._linear(), np.arange(len(self.length))
+        most = int(self.length.max(initial=0))
+        q, out = (p if linear else _logs(p)), np.zeros(len(p))
+        alpha = np.full((most + 1, len(n)), 0.0 if linear else -np.inf)
+        beta = alpha.copy()
+        alpha[0] = 1 if linear else 0
+        for end, size, rows, piece in self.steps:
+            if linear:
+                alpha[end, rows] += alpha[end - size, rows] * q[piece]
+            else:
+                alpha[end, rows] = np.logaddexp(alpha[end, rows], alpha[end - size, rows] + q[piece])
+        whole = alpha[self.length, n]
+        beta[self.length, n] = weight / whole if linear else np.log(weight) - whole
+        for end, size, rows, piece in reversed(self.steps):
+            if linear:
+                use = beta[end, rows] * q[piece]
+                beta[end - size, rows] += use
+                use = use * alpha[end - size, rows]
+            else:
+                use = beta[end, rows] + q[piece]
+                beta[end - size, rows] = np.logaddexp(beta[end - size, rows], use)
+                use = np.exp(use + alpha[end - size, rows])
+            np.add.at(out, piece, use)
         return out
 
 
+def _logs(p: np.ndarray) -> np.ndarray:
+    with np.errstate(divide="ignore"):
+        return np.log(p)
+
+
 def _lowered(texts: list[bytes | None]) -> list[bytes]:
     return [t.decode("utf-8", "replace").lower().encode() if t else b"" for t in texts]
 
 
 def _letter_words(texts: list[bytes]) -> Words:
-    """Runs of letters, those of more than LONGEST_WORD bytes in parts."""
+    """Runs of letters, whole, each with the space before it if there is one."""
     words = cut(texts, _LETTERS)
-    parts = np.maximum(-(-(words.end - words.start) // LONGEST_WORD), 1)
-    if len(parts) and parts.max() > 1:
-        first = np.concatenate(([0], np.cumsum(parts)))
-        start = np.repeat(words.start, parts) + LONGEST_WORD * (np.arange(first[-1]) - np.repeat(first[:-1], parts))
-        return Words(words.data, start, np.minimum(start + LONGEST_WORD, np.repeat(words.end, parts)), first[words.first])
-    return words
+    spaced = (words.start > 0) & (words.data[words.start - 1] == ord(" ")) if len(words.start) else np.zeros(0, bool)
+    return Words(words.data, words.start - spaced, words.end, words.first)
 
 
 @dataclass
 class Languages:
-    """Names in order, the pieces, and a probability per piece and language with a last row of zeros."""
+    """Names in order, the pieces, and a probability per piece and language."""
 
     names: list[str]
     pieces: Pieces
@@ -206,36 +247,38 @@ def fit_languages(documents: DataFrame, folds: int = 4, held_out: int = 2, doc_i
     """
     rows = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & (fold(F.col("doc_id"), folds) != held_out))
-    totals = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    spark = documents.sparkSession
+    found = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    if len(found) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages; is {lang} a column of languages?")
+    totals = {r.lang: r.n for r in found}
     names = sorted(totals)
     keep = max(1.0, sum(totals.values()) / most)
+    shares = [(name, int(min(1.0, max(1 / keep, most / 100 / n)) * (1 << 20))) for name, n in totals.items()]
     chance = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 20))
-    wanted = F.lit(False)
-    for name in names:
-        share = min(1.0, max(1 / keep, most / 100 / totals[name]))
-        wanted = wanted | ((F.col("lang") == name) & (chance < int(share * (1 << 20))))
-    counts = stored(_word_counts(rows.where(wanted)), "language-words")
+    # At most MOST_LANGUAGES rows.
+    sample = rows.join(F.broadcast(spark.createDataFrame(shares, "lang string, share bigint")), "lang").where(chance < F.col("share"))
+    counts = stored(_word_counts(sample), "language-words")
     pieces = Pieces(read_vocabulary(vocabulary))
     shape = (pieces.count, len(names))
     p = np.full(shape, 1 / pieces.count)
-    spark = documents.sparkSession
     for _ in range(ROUNDS if names else 0):
-        shared = spark.sparkContext.broadcast(Languages(names, pieces, np.vstack([p, np.zeros((1, len(names)))])))
+        shared = spark.sparkContext.broadcast(Languages(names, pieces, p))
 
         def expect(batches, shared=shared):
             own = shared.value
             total = np.zeros(own.p.shape)
-            number = {name: i for i, name in enumerate(own.names)}
             for batch in batches:
-                for at in range(0, batch.num_rows, 20_000):
-                    part = batch.slice(at, 20_000)
-                    words = part.column(1).to_pylist()
-                    ends = np.cumsum([len(w) for w in words])
-                    lattice = Lattice.of(own.pieces, np.frombuffer(b"".join(words), np.uint8), ends - [len(w) for w in words], ends)
-                    weight = np.zeros((len(words), len(own.names)))
-                    weight[np.arange(len(words)), [number[x] for x in part.column(0).to_pylist()]] = np.asarray(part.column(2))
-                    total += lattice.expected(own.p, weight)
-            piece, language = np.nonzero(total[:-1])
+                language = np.searchsorted(own.names, batch.column(0).to_pylist())
+                words = batch.column(1).to_pylist()
+                ends = np.cumsum([len(w) for w in words])
+                starts, data, n = ends - [len(w) for w in words], np.frombuffer(b"".join(words), np.uint8), np.asarray(batch.column(2))
+                for g in np.unique(language):
+                    of_g = np.flatnonzero(language == g)
+                    for block in blocks(ends[of_g] - starts[of_g], 1):
+                        some = of_g[block]
+                        total[:, g] += Lattice.of(own.pieces, data, starts[some], ends[some]).expected(own.p[:, g], n[some].astype(float))
+            piece, language = np.nonzero(total)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(piece.astype(np.int32)), pa.array(language.astype(np.int32)), pa.array(total[piece, language])], names=["piece", "language", "n"]
             )
@@ -245,7 +288,7 @@ def fit_languages(documents: DataFrame, folds: int = 4, held_out: int = 2, doc_i
         p = np.full(shape, 0.02)
         p[np.asarray(summed.column("piece")), np.asarray(summed.column("language"))] += np.asarray(summed.column("n"))
         p /= p.sum(axis=0)
-    return Languages(names, pieces, np.vstack([p, np.zeros((1, len(names)))]))
+    return Languages(names, pieces, p)
 
 
 class _Memory:
@@ -262,8 +305,10 @@ class _Memory:
         out = np.empty((len(unique), len(self.languages.names)))
         out[known] = self.scores[at[known]]
         new = np.flatnonzero(~known)
-        for some in np.array_split(new, -(-len(new) // 8192)) if len(new) else []:
-            lattice = Lattice.of(self.languages.pieces, words.data, words.start[first[some]], words.end[first[some]])
+        start, end = words.start[first[new]], words.end[first[new]]
+        for block in blocks(end - start, out.shape[1]):
+            some = new[block]
+            lattice = Lattice.of(self.languages.pieces, words.data, start[block], end[block])
             out[some] = lattice.log_scores(self.languages.p)
         if len(new):
             if len(self.hashes) + len(new) > REMEMBERED:

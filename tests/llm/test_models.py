@@ -123,16 +123,50 @@ def test_the_forward_pass_sums_all_segmentations():
     pieces = [bytes([b]) for b in range(256)] + [b"ab", b"abc", b"bc", b"cab"]
     p = np.random.default_rng(2).random(len(pieces))
     words = [b"abcab", b"a", b"cabcabc", b"zz", b"bc"]
-    got = lattice_of(pieces, words).log_scores(np.append(p, 0)[:, None])[:, 0]
+    got = lattice_of(pieces, words).log_scores(p[:, None])[:, 0]
     assert np.allclose(got, [math.log(enumerated(w, p, pieces)) for w in words])
 
 
+def test_long_words_pieces_and_scripts_without_spaces_are_summed_whole():
+    run = "自然言語処理の研究が進んでいる".encode()
+    pieces = [bytes([b]) for b in range(256)] + [" 自".encode(), "自然".encode(), "言語処理の研究".encode(), b"ab", b"abcdefghijkl", run[3:40]]
+    p = np.random.default_rng(3).random((len(pieces), 2)) / 50
+    words = [b" " + run, run * 3, b"abcdefghijkl" * 3, b"abcdefghijkl", b"ab" * 700]
+    joined = b"".join(words)
+    ends = np.cumsum([len(w) for w in words])
+
+    def plain(word, g):
+        # Scaled by a constant per byte, so that plain products do not vanish.
+        sums = [1.0] + [0.0] * len(word)
+        for j in range(1, len(word) + 1):
+            sums[j] = sum(sums[j - len(q)] * p[i, g] * 8.0 ** len(q) for i, q in enumerate(pieces) if word[:j].endswith(q))
+        return math.log(sums[-1]) - len(word) * math.log(8)
+
+    got = np.zeros((len(words), 2))
+    data, starts = np.frombuffer(joined, np.uint8), ends - [len(w) for w in words]
+    for block in segmentation.blocks(ends - starts, 2):
+        got[block] = segmentation.Lattice.of(segmentation.Pieces(pieces), data, starts[block], ends[block]).log_scores(p)
+    assert np.allclose(got, [[plain(w, g) for g in range(2)] for w in words])
+
+
+def test_words_are_whole_runs_with_their_space():
+    text = "Ab cd,ef " + "中" * 40
+    words = segmentation._letter_words(segmentation._lowered([text.encode(), None, b"x"]))
+    assert [words.data[s:e].tobytes().decode() for s, e in zip(words.start, words.end)] == ["ab", " cd", "ef", " " + "中" * 40, "x"]
+
+
+@needs_pieces
+def test_no_usable_piece_is_left_out():
+    pieces = set(segmentation.read_vocabulary())
+    assert len(pieces) > 39_000 and max(map(len, pieces)) > 30 and " the".encode() in pieces
+
+
 def test_expectations_count_the_bytes():
     pieces = [bytes([b]) for b in range(256)] + [b"ab", b"abc", b"bc", b"cab"]
-    p = np.append(np.random.default_rng(2).random(len(pieces)), 0)[:, None]
-    words, weight = [b"abcab", b"cabcabc"], np.array([[2.0], [3.0]])
-    used = lattice_of(pieces, words).expected(p, weight)[:-1, 0]
-    assert math.isclose(sum(n * len(q) for n, q in zip(used, pieces)), 2 * 5 + 3 * 7)
+    p = np.random.default_rng(2).random(len(pieces))
+    for words in ([b"abcab", b"cabcabc"], [b"abcab" * 30, b"cabcabc" * 40]):
+        used = lattice_of(pieces, words).expected(p / p.sum(), np.array([2.0, 3.0]))
+        assert math.isclose(sum(n * len(q) for n, q in zip(used, pieces)), 2 * len(words[0]) + 3 * len(words[1]))
 
 
 @needs_pieces
