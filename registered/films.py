@@ -12,7 +12,11 @@ from sievewell.operators import charts as CH
 from sievewell.operators import ranking as R
 from sievewell.operators import summaries as S
 from sievewell.operators.boxstats import box_stats
+from sievewell.operators.codebook import CodeBook
+from sievewell.operators.sketches import RANK_ERROR, SketchStore, merge_sketches, sketched_quantiles
 from sievewell.plans import films as P
+from sievewell.plans.scratch import materialized, scratch_path
+from sievewell.plans.skew import salted_lookup
 from sievewell.sources.writers import report_bundle, section
 
 MIN_BUDGET, MIN_VOTES = 0.7, 30
@@ -215,6 +219,42 @@ def yearly_orders(spark, sf_dir):
 # --- quantiles ------------------------------------------------------------------------------------
 
 
+QUARTERS = (0.25, 0.5, 0.75)
+
+
+@register(
+    "sketched_quartiles",
+    "AGG2 AGG12",
+    f"""
+SELECT year(o_orderdate)::INTEGER AS order_year, probability, count(o_totalprice) AS n, true AS within
+FROM orders, (SELECT unnest({list(QUARTERS)})::DOUBLE AS probability) WHERE o_totalprice IS NOT NULL GROUP BY ALL""",
+)
+def sketched_quartiles(spark, sf_dir):
+    """Yearly quartiles merged from stored monthly sketches, each held against its exact rank among the year's orders.
+
+    Sketches are drawn by chance, so that it is the rank's place that is the same each time, not the value.
+    """
+    orders = table(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("period"), F.year("o_orderdate").alias("order_year"), "o_totalprice")
+    store = SketchStore(scratch_path(spark, "sketches"), ("order_year",))
+    for late in (False, True):
+        # The second half of each year comes in a run of its own.
+        store.add(orders.where((F.substring("period", 6, 2) > "06") == F.lit(late)), "o_totalprice")
+    found = materialized(sketched_quantiles(merge_sketches(store.read(spark), ["order_year"]), ["order_year"], QUARTERS), "quartiles")
+    by_year = found.groupBy("order_year").agg(F.map_from_entries(F.collect_list(F.struct("probability", "value"))).alias("at"))
+    # Three values for each year.
+    placed = salted_lookup(orders, by_year, ["order_year"], ["o_totalprice"], few_keys=True)
+    ranks = placed.groupBy("order_year").agg(
+        *[F.count_if(F.col("o_totalprice") < F.col("at")[F.lit(q)]).alias(f"below{i}") for i, q in enumerate(QUARTERS)],
+        *[F.count_if(F.col("o_totalprice") <= F.col("at")[F.lit(q)]).alias(f"upto{i}") for i, q in enumerate(QUARTERS)],
+    )
+    exact = ranks.select("order_year", F.explode(F.array(*[
+        F.struct(F.lit(q).alias("probability"), F.col(f"below{i}").alias("below"), F.col(f"upto{i}").alias("upto")) for i, q in enumerate(QUARTERS)
+    ])).alias("rank")).select("order_year", "rank.*")
+    wanted, slack = F.col("probability") * F.col("n"), F.col("n") * F.lit(RANK_ERROR) + 1
+    within = (F.col("below") <= wanted + slack) & (F.col("upto") >= wanted - slack)
+    return found.join(exact, ["order_year", "probability"]).select("order_year", "probability", "n", within.alias("within"))
+
+
 @register(
     "exact_medians",
     "AGG2 AGG12",
@@ -331,6 +371,20 @@ def category_codes(spark, sf_dir):
     return CH.category_codes(table(spark, sf_dir, "part").withColumnRenamed("p_name", "label"), "label")
 
 
+@register(
+    "category_codes_kept",
+    "PRJ27",
+    """
+WITH labels AS (SELECT p_name AS label, bool_or(p_partkey % 2 = 0) AS early FROM part WHERE p_name IS NOT NULL GROUP BY ALL)
+SELECT label, row_number() OVER (ORDER BY NOT early, md5(label)[1:3], label) - 1 AS code FROM labels""",
+)
+def category_codes_kept(spark, sf_dir):
+    """Half of the parts get codes first; the run over all parts keeps them and numbers the other labels on."""
+    parts, book = table(spark, sf_dir, "part").withColumnRenamed("p_name", "label"), CodeBook(scratch_path(spark, "codes"))
+    book.add(parts.where("p_partkey % 2 = 0"))
+    return book.add(parts)
+
+
 def _points_sql(x: str, y: str) -> str:
     return f"""
 WITH {FILMS_SQL},

@@ -174,6 +174,24 @@ def stream_counts(spark, sf_dir):
     )
 
 
+@register(
+    "stream_partition_outcomes",
+    "SNK4 AGG7 SNK5",
+    f"""
+WITH {_STRICT}, first_time AS (
+  SELECT event_type AS part, count(*) AS received, count(*) FILTER (validation_reason IS NULL) AS inserted,
+         count(*) FILTER (validation_reason IS NOT NULL) AS rejected FROM routed GROUP BY ALL
+)
+SELECT part, 2 * received AS received, inserted, 2 * rejected AS rejected FROM first_time""",
+)
+def stream_partition_outcomes(spark, sf_dir):
+    """Outcomes by event type; all files come twice, so that half of what is valid is not inserted."""
+    base = scratch_path(spark, "sink")
+    sink = RoutedSink(KeyedParquetTable(f"{base}/events"), f"{base}/rejects", f"{base}/counts", outcomes_path=f"{base}/outcomes", partition="event_type")
+    drained(spark, sf_dir, times=2, sink=sink)
+    return sink.read_outcomes(spark).groupBy(F.col("partition").alias("part")).agg(*[F.sum(c).alias(c) for c in ("received", "inserted", "rejected")])
+
+
 @register(
     "stream_progress",
     "SNK8 STR8 FLT12",

@@ -48,8 +48,8 @@ def lookup_in_order(
 
 
 def _found(requested: DataFrame, available: DataFrame, key: str, position: str) -> DataFrame:
-    """Requests with their rows; a key asked for very often is spread."""
-    return salted_lookup(requested.select(position, key), available, [key], [position])
+    """Requests with their rows; a key asked for very often is spread, all others are joined once."""
+    return salted_lookup(requested.select(position, key), available, [key], [position], only_hot=True)
 
 
 def with_fallback(primary: DataFrame, fallback: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from typing import Protocol
 from pyspark import InheritableThread
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sievewell import schemas
 from sievewell.operators.validation import first_failure, sink_rules, split_valid
@@ -60,6 +61,11 @@ class RoutedSink:
     again; a committed one that comes again is left as it is.  A valid row
     that the table's contract does not admit fails the batch before anything
     is written.
+
+    With ``outcomes_path``, the counts are kept for each value of the column
+    ``partition`` besides (a source file, a tenant): rows received and rejected
+    as the batch has them, rows inserted as its files in the table have them.
+    The table must hold that column.
     """
 
     table: KeyedTable
@@ -69,8 +75,12 @@ class RoutedSink:
     check_contract: bool = True
     rows_per_file: int = 250_000
     log: CommitLog = field(default=None)
+    outcomes_path: str | None = None
+    partition: str | None = None
 
     def __post_init__(self) -> None:
+        if self.outcomes_path is not None and not (isinstance(self.table, KeyedParquetTable) and self.partition in self.table.schema.names):
+            raise ValueError(f"outcomes by {self.partition!r} need a parquet table that holds that column")
         if self.log is None:
             object.__setattr__(self, "log", CommitLog(self.counts_path))
         if isinstance(self.table, KeyedParquetTable) and self.table.commits is None:
@@ -105,6 +115,8 @@ class RoutedSink:
             finally:
                 if rejecting is not None:
                     rejecting()
+            if self.outcomes_path is not None:
+                self._write_outcomes(rows, facts, inserted)
         final = BatchOutcome(stream_id, batch_id, outcome.received, inserted, outcome.rejected)
         self._commit(spark, final, facts)
         return final
@@ -152,6 +164,27 @@ class RoutedSink:
 
         return wait
 
+    def _write_outcomes(self, rows: DataFrame, facts: BatchFacts, inserted: int) -> None:
+        """SNK4: received, inserted and rejected rows for each value of the partition column, seen once the batch is committed."""
+        by = F.col(self.partition).cast(self.table.schema[self.partition].dataType).alias("partition")
+        counts = rows.groupBy(by).agg(F.count(F.lit(1)).alias("received"), F.count_if(~F.col("is_valid")).alias("rejected"))
+        if inserted:
+            folder = batch_folder(self.table.path, facts.stream_id, facts.batch_id)
+            written = rows.sparkSession.read.schema(self.table.schema).parquet(folder)
+            written = written.groupBy(F.col(self.partition).alias("__partition")).agg(F.count(F.lit(1)).alias("inserted"))
+            counts = counts.join(written, F.col("partition").eqNullSafe(F.col("__partition")), "left").drop("__partition")
+        else:
+            counts = counts.withColumn("inserted", F.lit(None).cast("bigint"))
+        counts = counts.select("partition", "received", F.coalesce("inserted", F.lit(0).cast("bigint")).alias("inserted"), "rejected")
+        counts.write.mode("overwrite").parquet(batch_folder(self.outcomes_path, facts.stream_id, facts.batch_id))
+
+    def read_outcomes(self, spark: SparkSession) -> DataFrame:
+        """(partition, received, inserted, rejected, stream_id, batch_id) of committed batches."""
+        shape = T.StructType([T.StructField("partition", self.table.schema[self.partition].dataType), *[T.StructField(c, T.LongType()) for c in ("received", "inserted", "rejected")]])
+        rows = spark.read.schema(schemas.with_batch_keys(shape)).parquet(self.outcomes_path)
+        done = self.log.read(spark).select(*schemas.BATCH_KEYS)
+        return rows.join(done, list(schemas.BATCH_KEYS), "left_semi").select(rows.columns)
+
     def _commit(self, spark: SparkSession, outcome: BatchOutcome, facts: BatchFacts) -> None:
         """SNK7: the batch's counts, and from here on its rows."""
         bounds = [x if isinstance(x, str) else None for x in (facts.key_from, facts.key_to)]
