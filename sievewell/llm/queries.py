@@ -18,7 +18,7 @@ from sievewell.llm.mixing import mix
 from sievewell.llm.pii import report_private
 from sievewell.llm.segmentation import predict_languages
 from sievewell.llm.toxicity import judge_toxicity
-from sievewell.llm.url_cascade import Rule, judge_urls
+from sievewell.llm.url_cascade import Rule, judge_urls, page_key
 from sievewell.llm.wu_manber import find_contamination
 
 # The URL rules to be judged by, and a host to be kept out besides.
@@ -30,6 +30,8 @@ URL_RULES = (
     Rule("net", "/fr/", "block"),
 )
 BLOCKED_HOSTS = ("spam-farm.example.org",)
+# First digit of the MD5 of the pages kept out: the block list is a sixteenth of the corpus, so that filters do let others by.
+BLOCKED_DIGIT = "0"
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -50,6 +52,7 @@ SELECT page_id, host, path,
        arg_max(h || p, length(h || p)) AS rule,
        coalesce(arg_max(v, length(h || p)),
                 CASE WHEN {" OR ".join(f"host = '{h}' OR ends_with(host, '.{h}')" for h in BLOCKED_HOSTS)}
+                       OR (host || path <> '' AND md5(host || path)[1] = '{BLOCKED_DIGIT}')
                      THEN 'block' ELSE 'allow' END) AS verdict
 FROM fits GROUP BY page_id, host, path
 """
@@ -118,7 +121,9 @@ FROM whole LEFT JOIN k ON whole.digest = k.digest LEFT JOIN notices ON whole.doc
 
 @query("op1_url_filters", URL_SQL)
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = judge_urls(table(spark, sf_dir, "pages"), URL_RULES, BLOCKED_HOSTS)
+    pages = table(spark, sf_dir, "pages")
+    blocked = pages.select(page_key(F.col("url")).alias("key")).where(F.substring(F.md5("key"), 1, 1) == BLOCKED_DIGIT)
+    judged = judge_urls(pages, URL_RULES, BLOCKED_HOSTS, blocked_pages=blocked)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
