@@ -1,23 +1,26 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-A first transducer turns words into symbols: insult, threat, target, negation,
-reported speech, anything else.  Its word lists are short fixed ones, joined
-by words and word beginnings that labelled texts show to be insults in
-whatever language.  A second transducer reads the symbols of a clause, its
-state holding whether a target was named, how far back a negation is and
-whether the clause reports somebody's words; insults and threats are written
-out as plain, targeted, negated or reported.  The weights of these outputs are
-fitted on labelled texts, and a text's score sums its matched clauses.
+A lexicon turns words into symbols: insult, threat, target, negation, reported
+speech, anything else; a word may be read as several.  Its word lists are
+short fixed ones, joined by words and word beginnings that labelled texts show
+to be insults in whatever language.  Five transducers, each a table of states
+by symbols, are composed into one: reported speech and negation mark the
+insults and threats within their reach, the target transducer those aimed at
+somebody, and the insult and threat transducers write what they then find.
+Each arc weighs what it writes; the weights are fitted on labelled texts.  A
+clause is scored by its best path, a text by the paths of all its clauses.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sievewell.llm.sampling import fold, labelled_texts
@@ -35,6 +38,9 @@ OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 NEGATION_REACH = 3
 CONTEXTS = ("plain", "targeted", "negated", "reported")
 OUTPUTS = tuple(f"{what}/{how}" for what in ("insult", "threat") for how in CONTEXTS) + ("target after insult",)
+# An insult or threat found in a context is a symbol of its own, written by one transducer for the next to read.
+_HEAVY = {(what, how): what if not how else 6 + 3 * i + how - 1 for i, what in enumerate((INSULT, THREAT)) for how in range(4)}
+_SYMBOLS = 12
 
 #: Labelled texts to learn from, at most.
 MOST_LABELLED = 20_000
@@ -66,57 +72,152 @@ def _unit_hashes(words: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield longer, beginning.hashes() ^ np.uint64(size)
 
 
+@dataclass(frozen=True)
+class Transducer:
+    """Arcs by state and symbol read: the next state, the symbol written, and how often each of ``OUTPUTS`` is put out."""
+
+    to: np.ndarray
+    writes: np.ndarray
+    puts: np.ndarray
+
+    @classmethod
+    def of(cls, states: int, arcs: dict[tuple[int, int], tuple[int, int] | tuple[int, int, int]], fades: bool = False) -> Transducer:
+        """``arcs`` maps (state, symbol) to (next state, symbol written[, output]).
+
+        Any other symbol is written as it was read; the state stays, or, if it ``fades``, falls by one.
+        """
+        here = np.arange(states)
+        to = np.repeat((np.maximum(here - 1, 0) if fades else here)[:, None], _SYMBOLS, axis=1)
+        writes = np.repeat(np.arange(_SYMBOLS)[None, :], states, axis=0)
+        puts = np.zeros((states, _SYMBOLS, len(OUTPUTS)))
+        for (state, symbol), (to[state, symbol], writes[state, symbol], *output) in arcs.items():
+            puts[state, symbol, output] = 1
+        return cls(to, writes, puts)
+
+    def then(self, other: Transducer) -> Transducer:
+        """The composition: ``other`` reads what this one writes. State (i, j) is i * (states of other) + j."""
+        m = len(other.to)
+        i, j = np.divmod(np.arange(len(self.to) * m), m)
+        between = self.writes[i]
+        j = j[:, None]
+        return Transducer(self.to[i] * m + other.to[j, between], other.writes[j, between], self.puts[i] + other.puts[j, between])
+
+
+def _marking(how: int, states: tuple[int, ...]) -> dict[tuple[int, int], int]:
+    return {(state, what): _HEAVY[what, how] for state in states for what in (INSULT, THREAT)}
+
+
+def _putting(what: int) -> Transducer:
+    first = 0 if what == INSULT else len(CONTEXTS)
+    return Transducer.of(1, {(0, _HEAVY[what, how]): (0, OTHER, first + how) for how in range(4)})
+
+
+def grammar_parts() -> tuple[Transducer, ...]:
+    """Reported speech, negation, target, insult and threat, in the order in which they are composed."""
+    reported = Transducer.of(2, {(0, REPORT): (1, OTHER), **{k: (1, w) for k, w in _marking(3, (1,)).items()}})
+    reach = range(1, NEGATION_REACH + 1)
+    negation = Transducer.of(
+        NEGATION_REACH + 1,
+        {(s, NEGATION): (NEGATION_REACH, OTHER) for s in (0, *reach)} | {k: (k[0] - 1, w) for k, w in _marking(2, tuple(reach)).items()},
+        fades=True,
+    )
+    # 0: nothing yet, 1: somebody is named, 2: an insult or threat, and nobody named so far.
+    target = Transducer.of(
+        3,
+        {(0, TARGET): (1, OTHER), (1, TARGET): (1, OTHER), (2, TARGET): (1, OTHER, OUTPUTS.index("target after insult"))}
+        | {(0, symbol): (2, symbol) for symbol in _HEAVY.values()}
+        | {k: (1, w) for k, w in _marking(1, (1,)).items()},
+    )
+    return reported, negation, target, _putting(INSULT), _putting(THREAT)
+
+
+COMPOSED = reduce(Transducer.then, grammar_parts())
+_NO_PATH = -1e30
+#: Clauses walked at once, which bounds the memory of a walk.
+_CLAUSES = 2048
+
+
 @dataclass
 class Grammar:
-    """Learned insults (sorted hashes of words and beginnings), and a weight per output with the constant last."""
+    """Learned insults (sorted hashes of words and beginnings), a weight per output with the constant last, and the transducer."""
 
     learned: np.ndarray
     weights: np.ndarray
+    machine: Transducer = COMPOSED
 
-    def symbols(self, words: Words) -> np.ndarray:
-        out = np.zeros(len(words.start), dtype=np.int8)
+    def readings(self, words: Words) -> np.ndarray:
+        """The symbols each word may be read as, a bit each; 0 for none but ``OTHER``."""
+        out = np.zeros(len(words.start), dtype=np.uint8)
         learned = self.learned
         for which, hashes in _unit_hashes(words):
             if len(learned):
                 at = np.searchsorted(learned, hashes)
-                out[which[learned[np.minimum(at, len(learned) - 1)] == hashes]] = INSULT
+                out[which[learned[np.minimum(at, len(learned) - 1)] == hashes]] |= np.uint8(1 << INSULT)
         hashes = words.hashes()
         for symbol, listed in ((INSULT, INSULTS), (THREAT, THREATS), (TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)):
             known = np.sort(_hash_of(listed))
-            out[known[np.minimum(np.searchsorted(known, hashes), len(known) - 1)] == hashes] = symbol
+            out[known[np.minimum(np.searchsorted(known, hashes), len(known) - 1)] == hashes] |= np.uint8(1 << symbol)
         return out
 
+    @cached_property
+    def _steps(self) -> tuple[np.ndarray, np.ndarray]:
+        """Per set of readings, from state to state: the weight of the best arc and what it puts out."""
+        states = len(self.machine.to)
+        weight = np.full((1 << 6, states, states), _NO_PATH)
+        puts = np.zeros((1 << 6, states, states, len(OUTPUTS)))
+        arc_weight = self.machine.puts @ self.weights[:-1]
+        for readings in range(1 << 6):
+            for symbol in [s for s in range(1, 6) if readings >> s & 1] or [OTHER]:
+                for state in range(states):
+                    to = self.machine.to[state, symbol]
+                    if arc_weight[state, symbol] > weight[readings, state, to]:
+                        weight[readings, state, to] = arc_weight[state, symbol]
+                        puts[readings, state, to] = self.machine.puts[state, symbol]
+        return weight, puts
+
+    def _walk(self, readings: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """What the best path through each clause puts out; clause i reads readings[start[i]:start[i] + length[i]], longest first."""
+        weight, puts = self._steps
+        states = len(self.machine.to)
+        best = np.full((len(start), states), _NO_PATH)
+        best[:, 0] = 0
+        out = np.zeros((len(start), states, len(OUTPUTS)))
+        for t in range(int(length.max(initial=0))):
+            live = int(np.searchsorted(-length, -t, side="left"))
+            read = readings[start[:live] + t]
+            paths = best[:live, :, None] + weight[read]
+            source = paths.argmax(axis=1)
+            best[:live] = np.take_along_axis(paths, source[:, None, :], axis=1)[:, 0]
+            rows = np.arange(live)[:, None]
+            out[:live] = out[rows, source] + puts[read[:, None], source, np.arange(states)]
+        return out[np.arange(len(start)), best.argmax(axis=1)]
+
     def outputs(self, texts: list[bytes | None]) -> np.ndarray:
-        """How often each text's clauses write out each output."""
+        """What the best paths through each text's clauses put out."""
         words = cut(texts, _LETTERS)
-        symbols = self.symbols(words)
         counts = np.zeros((len(texts), len(OUTPUTS)))
+        readings = self.readings(words)
+        heavy = readings & (1 << INSULT | 1 << THREAT) != 0
+        if not heavy.any():
+            return counts
         doc = words.doc
-        heavy = np.zeros(len(texts), dtype=bool)
-        heavy[doc[(symbols == INSULT) | (symbols == THREAT)]] = True
-        at = np.flatnonzero((symbols != OTHER) & heavy[doc]) if len(doc) else np.zeros(0, dtype=int)
-        clauses = np.cumsum(_CLAUSE_END[words.data])
-        clause = clauses[words.start[at]]
-        read = None
-        for d, c, place, symbol in zip(doc[at].tolist(), clause.tolist(), at.tolist(), symbols[at].tolist()):
-            if read != c:
-                read, targeted, negated, reported, insulted = c, False, -NEGATION_REACH - 1, False, False
-            if symbol == TARGET:
-                if insulted and not targeted:
-                    counts[d, -1] += 1
-                targeted = True
-            elif symbol == NEGATION:
-                negated = place
-            elif symbol == REPORT:
-                reported = True
-            else:
-                how = 3 if reported else 2 if place - negated <= NEGATION_REACH else 1 if targeted else 0
-                counts[d, how + (len(CONTEXTS) if symbol == THREAT else 0)] += 1
-                insulted = True
+        clause = np.cumsum(_CLAUSE_END[words.data])[words.start]
+        at = np.flatnonzero(np.isin(clause, clause[heavy]))
+        # Beyond the reach of a negation another word without a symbol changes no state.
+        symbol = np.flatnonzero(readings != 0)
+        since = at - symbol[np.maximum(np.searchsorted(symbol, at, side="right") - 1, 0)]
+        at = at[(readings[at] != 0) | (since <= NEGATION_REACH)]
+        of, start, length = np.unique(clause[at], return_index=True, return_counts=True)
+        order = np.argsort(-length, kind="stable")
+        start, length = start[order], length[order]
+        read = readings[at]
+        for i in range(0, len(order), _CLAUSES):
+            part = slice(i, i + _CLAUSES)
+            np.add.at(counts, doc[at[start[part]]], self._walk(read, start[part], length[part]))
         return counts
 
     def scores(self, counts: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(np.log1p(counts) @ self.weights[:-1] + self.weights[-1], -40, 40)))
+        return 1 / (1 + np.exp(-np.clip(counts @ self.weights[:-1] + self.weights[-1], -40, 40)))
 
 
 #: Used until there are labels of both kinds: one plain or targeted insult or threat is toxic, not a negated or reported one.
@@ -124,7 +225,10 @@ PRIOR_WEIGHTS = np.array([6.0, 8.0, 1.0, 1.0, 4.0, 8.0, 1.0, 1.0, 2.0, -3.0])
 
 
 def _unalike(rows: DataFrame) -> DataFrame:
-    """Labelled texts with most near copies left out, as copies prove nothing twice: one per least shingle of two kinds."""
+    """Labelled texts with most near copies left out, as copies prove nothing twice: one per label and least shingle of two kinds.
+
+    The one with the least id stays, so that the same rows teach every time.
+    """
 
     def least(batches):
         for batch in batches:
@@ -135,12 +239,15 @@ def _unalike(rows: DataFrame) -> DataFrame:
                 for turn in (np.uint64(0), np.uint64(0x5DEECE66D1234567)):
                     own = np.zeros(len(texts), dtype=np.int64)
                     for d in range(len(texts)):
-                        own[d] = (shingles[bounds[d] : bounds[d + 1]] ^ turn).min(initial=np.uint64(2**63 - 1)).astype(np.int64)
+                        own[d] = (shingles[bounds[d] : bounds[d + 1]] ^ turn).min(initial=np.uint64(2**64 - 1)).astype(np.int64)
                     both.append(pa.array(own))
                 yield pa.RecordBatch.from_arrays([*part.columns, *both], names=["doc_id", "text", "label", "m1", "m2"])
 
     marked = rows.select("doc_id", "text", "label").mapInArrow(least, "doc_id bigint, text string, label int, m1 bigint, m2 bigint")
-    return marked.dropDuplicates(["m1"]).dropDuplicates(["m2"]).select("doc_id", "text", "label")
+    for least_shingle in ("m1", "m2"):
+        rank = F.row_number().over(W.partitionBy(least_shingle, "label").orderBy("doc_id", "text"))
+        marked = marked.withColumn("rank", rank).where("rank = 1").drop("rank")
+    return marked.select("doc_id", "text", "label")
 
 
 def _learn_insults(rows: DataFrame) -> np.ndarray:
@@ -208,7 +315,7 @@ def fit_grammar(documents: DataFrame, labels: DataFrame, label: str = "toxic", f
         return grammar
     x = np.array([r.counts for r in table])
     y, n = np.array([r.label for r in table], dtype=float), np.array([r.n for r in table])
-    return Grammar(learned, fit_logistic(np.repeat(np.log1p(x), n, axis=0), np.repeat(y, n), ridge=0.1))
+    return Grammar(learned, fit_logistic(np.repeat(x, n, axis=0), np.repeat(y, n), ridge=0.1))
 
 
 def score_toxicity(documents: DataFrame, grammar: Grammar, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
