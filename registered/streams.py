@@ -14,8 +14,7 @@ from sievewell.plans.scratch import materialized, scratch_path
 from sievewell.schemas import RAW_EVENT_SCHEMA
 from sievewell.streaming.commits import CommitLog
 from sievewell.streaming.keyed_table import KeyedParquetTable
-from sievewell.sources.readers import read_log_csv
-from sievewell.streaming.progress import PROGRESS_LOG_SCHEMA, ProgressRecorder
+from sievewell.streaming.progress import ProgressRecorder, RollingLog
 from sievewell.streaming.runner import run_stream
 from sievewell.streaming.sink import RoutedSink, read_counts, read_rejects
 
@@ -207,7 +206,7 @@ def stream_progress(spark, sf_dir):
         recorder.wait_ended()
     finally:
         spark.streams.removeListener(recorder)
-    return read_log_csv(spark, log, PROGRESS_LOG_SCHEMA).where(F.col("stream_id") == str(query.id)).agg(
+    return RollingLog(spark, log).read().where(F.col("stream_id") == str(query.id)).agg(
         F.count(F.lit(1)).alias("batches"), F.sum("num_input_rows").alias("num_input_rows")
     )
 

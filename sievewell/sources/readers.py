@@ -46,7 +46,7 @@ def csv_options(reader, corrupt: str = schemas.CORRUPT_COLUMN):
     )
 
 
-def read_log_csv(spark: SparkSession, path: str, schema: T.StructType, required: Sequence[str] | None = None) -> DataFrame:
+def read_log_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, required: Sequence[str] | None = None) -> DataFrame:
     """SRC5: a log with a header, typed by ``schema``; raises when a required column is missing.
 
     Columns are taken by name, so their order in the files is free as long as
@@ -54,6 +54,7 @@ def read_log_csv(spark: SparkSession, path: str, schema: T.StructType, required:
     of ``schema`` that are neither required nor in the files come as NULL.
     """
     required = schema.fieldNames() if required is None else list(required)
+    path = path if isinstance(path, str) else list(path)
     raw = spark.read.option("header", True).csv(path)
     if not raw.columns:
         return spark.createDataFrame([], schema)
