@@ -4,21 +4,25 @@ Four formats (e-mail, IP address, card, phone) are found exactly.  Beside them
 high-recall generators propose overlapping spans: anything around an @, runs
 of digits with separators, long tokens.  Each candidate becomes a few small
 numbers about its format and its context, and a sum of regression trees over
-these says how likely it is private.  The trees are boosted on a bounded
-sample, whose candidates Spark counts per combination of features; the
-threshold is the lowest that keeps the stated precision on the half of the
-sample not used for boosting.  Trees are applied as CASE expressions.
+these says how likely it is private.  Spark counts the candidates of all
+documents per combination of features.  The trees are boosted on those of one
+half of the texts (by hash): for each level of a tree, sums per node, feature
+and value, a fixed number, come to the driver.  The threshold is the lowest
+that keeps the stated precision on the other half.  Trees are applied as CASE
+expressions.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievewell.llm.sampling import share_of
+from sievewell.llm.store import stored
 
 # The formats, written so that a search never goes back within a run (the matches are those of the plain forms
 # given in the README), and the kinds in the order in which spans are written.
@@ -38,12 +42,17 @@ GENERATORS = {
 }
 CONTEXT = 24
 
-#: Documents sampled for boosting, trees, step, splits and the precision asked of the candidates added.
-MOST_SAMPLED = 20_000
+#: Trees, their depth, step, splits and the precision asked of the candidates added.
 TREES = 12
+DEPTH = 3
 STEP = 0.5
 LEAST_IN_LEAF = 5
 PRECISION = 0.98
+#: Gradients and curvatures are summed as whole numbers of this part, so that the trees do not depend on how rows are dealt.
+UNITS = 1 << 20
+#: Scores are summed by bands, so many to one of log odds, and the last band is open.
+BANDS = 64
+MOST_BANDS = 4096
 
 FEATURES = ("length", "digits", "letters", "separators", "luhn", "kind", "plus", "at", "mixed", "capital", "hex", "secret_word", "contact_word", "assigned", "octets")
 # Words of the context.
@@ -163,6 +172,9 @@ class Leaf:
     def expression(self, features: Column) -> Column:
         return F.lit(self.value)
 
+    def sql(self, features: str) -> str:
+        return f"{float(self.value)!r}D"
+
     def value_of(self, row: dict[str, int]) -> float:
         return self.value
 
@@ -177,6 +189,9 @@ class Split:
     def expression(self, features: Column) -> Column:
         return F.when(features[self.feature] <= self.most, self.low.expression(features)).otherwise(self.high.expression(features))
 
+    def sql(self, features: str) -> str:
+        return f"if({features}.{self.feature} <= {self.most}, {self.low.sql(features)}, {self.high.sql(features)})"
+
     def value_of(self, row: dict[str, int]) -> float:
         return (self.low if row[self.feature] <= self.most else self.high).value_of(row)
 
@@ -195,67 +210,149 @@ class Boosted:
             total = total + tree.expression(features)
         return total
 
+    def sql(self, features: str) -> str:
+        """The same over a column of that name, in one expression."""
+        return " + ".join([Leaf(self.base).sql(features), *[t.sql(features) for t in self.trees]])
+
+    def value_of(self, row: dict[str, int]) -> float:
+        return self.base + sum(t.value_of(row) for t in self.trees)
+
+
+#: Of a tree whose open leaves are numbered from 1: (leaf, feature, value) to the sums of gradients and curvatures there.
+Sums = Callable[["Leaf | Split"], dict[tuple[int, str, int], tuple[int, int]]]
+
+
+def _best_split(cells: dict[str, dict[int, tuple[float, float]]], g: float, h: float) -> tuple[str, int, float, float] | None:
+    """Feature, most of the lower side and its two sums, where a split gains most."""
+    best = None
+    for feature in FEATURES:
+        lg = lh = 0.0
+        for value in sorted(cells[feature])[:-1]:
+            lg += cells[feature][value][0]
+            lh += cells[feature][value][1]
+            gain = lg * lg / (lh + 1) + (g - lg) ** 2 / (h - lh + 1) - g * g / (h + 1)
+            if best is None or gain > best[0] + 1e-12:
+                best = (gain, feature, value, lg, lh)
+    return best[1:] if best and best[0] > 1e-3 else None
+
+
+def _grow(sums: Sums) -> Leaf | Split:
+    """A tree grown level by level; node k has the nodes 2 k and 2 k + 1 below it."""
+    splits: dict[int, tuple[str, int]] = {}
+    totals: dict[int, tuple[float, float]] = {}
+
+    def tree(k: int, leaf: Callable[[int], Leaf]) -> Leaf | Split:
+        return Split(*splits[k], tree(2 * k, leaf), tree(2 * k + 1, leaf)) if k in splits else leaf(k)
+
+    opened = [1]
+    for _ in range(DEPTH):
+        cells: dict[int, dict[str, dict[int, tuple[float, float]]]] = {k: {f: {} for f in FEATURES} for k in opened}
+        for (k, feature, value), (g, h) in sums(tree(1, lambda k: Leaf(k if k in opened else 0))).items():
+            cells[k][feature][value] = (g / UNITS, h / UNITS)
+        below = []
+        for k in opened:
+            g, h = totals.setdefault(k, tuple(map(sum, zip((0.0, 0.0), *cells[k][FEATURES[0]].values()))))
+            if best := _best_split(cells[k], g, h):
+                feature, value, lg, lh = best
+                splits[k], totals[2 * k], totals[2 * k + 1] = (feature, value), (lg, lh), (g - lg, h - lh)
+                below += [2 * k, 2 * k + 1]
+        opened = below
+        if not opened:
+            break
+    return tree(1, lambda k: Leaf(STEP * totals[k][0] / (totals[k][1] + 1)))
+
+
+@dataclass(frozen=True)
+class Listed:
+    """Counts in memory: (features, candidates, private ones, whether the row calibrates) per combination of features."""
+
+    rows: list[tuple[dict, int, int, bool]]
+
+    def totals(self) -> tuple[int, int]:
+        train = [(n, y) for _, n, y, calibrates in self.rows if not calibrates]
+        return sum(n for n, _ in train), sum(y for _, y in train)
+
+    def sums(self, model: Boosted, numbered: Leaf | Split) -> dict[tuple[int, str, int], tuple[int, int]]:
+        out: dict[tuple[int, str, int], tuple[int, int]] = {}
+        for f, n, y, calibrates in self.rows:
+            node = numbered.value_of(f)
+            if calibrates or not node:
+                continue
+            p = 1 / (1 + math.exp(min(-model.value_of(f), 700.0)))
+            g, h = round((y - n * p) * UNITS), round(n * p * (1 - p) * UNITS)
+            for feature in FEATURES:
+                was = out.get((node, feature, f[feature]), (0, 0))
+                out[node, feature, f[feature]] = (was[0] + g, was[1] + h)
+        return out
+
+    def threshold(self, model: Boosted) -> float | None:
+        held = sorted(((model.value_of(f), n, y) for f, n, y, calibrates in self.rows if calibrates), key=lambda r: -r[0])
+        lowest, seen, right = None, 0, 0
+        for i, (s, n, y) in enumerate(held):
+            seen, right = seen + n, right + y
+            if right >= PRECISION * seen and s > 0 and (i + 1 == len(held) or held[i + 1][0] < s):
+                lowest = s
+        return lowest
+
+
+@dataclass(frozen=True)
+class Counted:
+    """The same as written rows (f, calibrates, n, y), which stay where they are; what comes to the driver does not grow with them."""
+
+    rows: DataFrame
+
+    def totals(self) -> tuple[int, int]:
+        found = self.rows.where("NOT calibrates").agg(F.sum("n"), F.sum("y")).first()
+        return found[0] or 0, found[1] or 0
 
-def _grow(rows: list[tuple[dict, float, float]], depth: int) -> Leaf | Split:
-    """A tree from (features, gradient sum, curvature sum) per combination."""
-    g, h = sum(r[1] for r in rows), sum(r[2] for r in rows)
-    if depth:
-        best = None
-        for feature in FEATURES:
-            by_value: dict[int, list[float]] = {}
-            for row, rg, rh in rows:
-                cell = by_value.setdefault(row[feature], [0.0, 0.0])
-                cell[0] += rg
-                cell[1] += rh
-            lg = lh = 0.0
-            for value in sorted(by_value)[:-1]:
-                lg += by_value[value][0]
-                lh += by_value[value][1]
-                gain = lg * lg / (lh + 1) + (g - lg) ** 2 / (h - lh + 1) - g * g / (h + 1)
-                if best is None or gain > best[0] + 1e-12:
-                    best = (gain, feature, value)
-        if best and best[0] > 1e-3:
-            _, feature, value = best
-            low, high = ([r for r in rows if (r[0][feature] <= value) == side] for side in (True, False))
-            return Split(feature, value, _grow(low, depth - 1), _grow(high, depth - 1))
-    return Leaf(STEP * g / (h + 1))
-
-
-def boost(table: list[tuple[dict, int, int, bool]]) -> Boosted:
-    """From (features, candidates, private ones, whether the row calibrates) per combination of features."""
-    train = [(f, n, y) for f, n, y, calibrates in table if not calibrates]
-    total, private = sum(n for _, n, _ in train), sum(y for _, _, y in train)
+    def sums(self, model: Boosted, numbered: Leaf | Split) -> dict[tuple[int, str, int], tuple[int, int]]:
+        train = self.rows.where("NOT calibrates").selectExpr("f", "n", "y", f"int({numbered.sql('f')}) AS node", f"1 / (1 + exp(-({model.sql('f')}))) AS p")
+        cells = ", ".join(f"struct({i} AS feature, f.{name} AS value)" for i, name in enumerate(FEATURES))
+        each = train.where("node > 0").selectExpr(
+            "node", f"bigint(rint((y - n * p) * {UNITS})) AS g", f"bigint(rint(n * p * (1 - p) * {UNITS})) AS h", f"explode(array({cells})) AS cell"
+        )
+        found = each.groupBy("node", "cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).collect()
+        return {(r.node, FEATURES[r.cell.feature], r.cell.value): (r.g, r.h) for r in found}
+
+    def threshold(self, model: Boosted) -> float | None:
+        """Bands of scores are summed first, so that a task orders the scores of one band, knowing what is above it."""
+        band = F.least(F.floor(F.col("score") * BANDS), F.lit(MOST_BANDS)).cast("int")
+        held = self.rows.where("calibrates").selectExpr(f"{model.sql('f')} AS score", "n", "y").where("score > 0")
+        scores = held.groupBy("score").agg(F.sum("n").alias("n"), F.sum("y").alias("y")).select(band.alias("band"), "score", "n", "y")
+        above, seen, right = [], 0, 0
+        for r in sorted(scores.groupBy("band").agg(F.sum("n").alias("n"), F.sum("y").alias("y")).collect(), key=lambda r: -r.band):
+            above.append((r.band, seen, right))
+            seen, right = seen + r.n, right + r.y
+        if not above:
+            return None
+        higher = self.rows.sparkSession.createDataFrame(pa.table(dict(zip(("band", "n_above", "y_above"), map(list, zip(*above))))))
+        down = Window.partitionBy("band").orderBy(F.desc("score"))
+        so_far = scores.join(F.broadcast(higher), "band").select(
+            "score", (F.col("n_above") + F.sum("n").over(down)).alias("seen"), (F.col("y_above") + F.sum("y").over(down)).alias("right")
+        )
+        return so_far.where(F.col("right") >= F.lit(PRECISION) * F.col("seen")).agg(F.min("score")).first()[0]
+
+
+def boost(table: list[tuple[dict, int, int, bool]] | Counted) -> Boosted:
+    """From (features, candidates, private ones, whether the row calibrates) per combination of features, listed or as counted rows."""
+    counts = table if isinstance(table, Counted) else Listed(table)
+    total, private = counts.totals()
     if not private or private == total:
         return Boosted(0.0, (), None)
-    base = math.log(private / (total - private))
-    scores = [base] * len(train)
-    trees: list[Leaf | Split] = []
+    model = Boosted(math.log(private / (total - private)), (), None)
     for _ in range(TREES):
-        steps = []
-        for (f, n, y), s in zip(train, scores):
-            p = 1 / (1 + math.exp(-s))
-            steps.append((f, y - n * p, n * p * (1 - p)))
-        tree = _grow(steps, depth=3)
-        trees.append(tree)
-        scores = [s + tree.value_of(f) for s, (f, _, _) in zip(scores, train)]
-    held = sorted(((base + sum(t.value_of(f) for t in trees), n, y) for f, n, y, calibrates in table if calibrates), key=lambda r: -r[0])
-    threshold, seen, right = None, 0, 0
-    for i, (s, n, y) in enumerate(held):
-        seen, right = seen + n, right + y
-        if right >= PRECISION * seen and s > 0 and (i + 1 == len(held) or held[i + 1][0] < s):
-            threshold = s - 1e-9
-    return Boosted(base, tuple(trees), threshold)
-
-
-def fit_boosted(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = MOST_SAMPLED) -> Boosted:
-    """Boost on the candidates of about ``most`` documents; the driver gets one row per combination of features."""
-    rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).where("text is not null")
-    sample = share_of(rows, "text", most)
-    exploded = sample.select((F.pmod(F.xxhash64(F.lit("half"), "text"), F.lit(2)) == 1).alias("calibrates"), F.explode(_candidates(F.col("text"))).alias("c"))
+        model = replace(model, trees=(*model.trees, _grow(lambda numbered: counts.sums(model, numbered))))
+    lowest = counts.threshold(model)
+    return model if lowest is None else replace(model, threshold=lowest - 1e-9)
+
+
+def fit_boosted(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Boosted:
+    """Boost on the candidates of all documents, counted per combination of features and written once."""
+    rows = documents.select(F.col(text).cast("string").alias("text")).where("text is not null")
+    exploded = rows.select((F.pmod(F.xxhash64(F.lit("half"), "text"), F.lit(2)) == 1).alias("calibrates"), F.explode(_candidates(F.col("text"))).alias("c"))
     judged = exploded.select("calibrates", _features(F.col("c")).alias("f"), _weak_label(F.col("c")).alias("y"))
-    counted = judged.groupBy("f", "calibrates").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("y")).collect()
-    table = sorted(((r.f.asDict(), r.n, r.y, r.calibrates) for r in counted), key=lambda r: (tuple(r[0].values()), r[3]))
-    return boost(table)
+    counted = judged.groupBy("f", "calibrates").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("y"))
+    return boost(Counted(stored(counted, "pii-candidates")))
 
 
 def _written(spans: Column) -> Column:

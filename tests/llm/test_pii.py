@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 
 from pyspark.sql import functions as F
 
-from sievewell.llm.pii import Boosted, boost, find_private, fit_boosted, redact, report_private
+from sievewell.llm.pii import FEATURES, Boosted, Counted, boost, find_private, fit_boosted, redact, report_private
 
 # The plain forms.
 PLAIN = {
@@ -105,3 +106,28 @@ def test_trees_give_back_what_separates():
     model = boost(table)
     score = lambda f: model.base + sum(t.value_of(f) for t in model.trees)
     assert score(low | {"luhn": 1, "digits": 16}) >= model.threshold > score(low) and score(low | {"luhn": 1, "digits": 5}) < model.threshold
+
+
+def test_boosting_learns_from_every_document(spark):
+    """More documents than any sample had: the log odds to begin with are those of all candidates of the boosting half."""
+    text = "CASE WHEN id % 5 = 0 THEN 'token = ' || translate(left(md5(string(id)), 20), '0123456789', 'ghijklmnop') || '9a' ELSE 'see part-number-' || id || '-of-2024' END"
+    rows = spark.range(25_000).selectExpr("id AS doc_id", f"{text} AS text")
+    total, private = rows.where("pmod(xxhash64('half', text), 2) = 0").selectExpr("count(*)", "count_if(doc_id % 5 = 0)").first()
+    model = fit_boosted(rows)
+    assert model.base == math.log(private / (total - private))
+    assert model.threshold is not None and find_private(rows, model).where("(size(spans) > 0) <> (doc_id % 5 = 0)").count() == 0
+
+
+def test_boosting_over_partitions_equals_boosting_of_a_list(spark):
+    rng = random.Random(8)
+    table = []
+    for _ in range(400):
+        f = {name: rng.randint(0, 3 if i > 3 else 30) for i, name in enumerate(FEATURES)}
+        n = rng.randint(1, 50)
+        table.append((f, n, n if f["luhn"] > 1 and f["digits"] > 9 else rng.randint(0, 2) % (n + 1) // 2, rng.random() < 0.5))
+    schema = f"f struct<{', '.join(f'{x}: int' for x in FEATURES)}>, calibrates boolean, n bigint, y bigint"
+    frame = spark.createDataFrame([(f, c, n, y) for f, n, y, c in table], schema)
+    one, many = boost(table), boost(Counted(frame.repartition(5)))
+    assert many == boost(Counted(frame.coalesce(1))) and many.base == one.base and one.threshold is not None
+    for f, _, _, _ in table:
+        assert abs(one.value_of(f) - many.value_of(f)) < 1e-6 and (one.value_of(f) >= one.threshold) == (many.value_of(f) >= many.threshold)
