@@ -39,6 +39,8 @@ END = b" "
 BLOCK_BYTES = 3 << 20
 #: Tokens whose states are held at once; of longer runs only the states at the bounds are kept, and the rest found anew.
 SPAN = 1 << 19
+#: Blocks whose expected counts a task adds up before they are shuffled, unless there would be fewer tasks than cores.
+TASK_BLOCKS = 24
 #: Expected counts are summed as whole numbers of this part.
 UNITS = 1 << 16
 
@@ -53,17 +55,15 @@ _BLOCKS = (
 class Shape:
     """Size and training of a model.
 
-    ``rounds`` of Baum-Welch run over all training texts.  Before them,
-    ``early_rounds`` run over whole blocks drawn by hash, of about
-    ``early_tokens`` tokens, only to find where to begin.  ``prior`` tokens
-    dealt as in all texts are added to what each state gives.
+    ``early_rounds`` of Baum-Welch, in which the states part, and ``rounds``
+    after them all run over all training texts, however many there are.
+    ``prior`` tokens dealt as in all texts are added to what each state gives.
     """
 
     states: int = 16
     symbols: int = 1 << 16
     rounds: int = 3
     early_rounds: int = 6
-    early_tokens: int = 2_000_000
     prior: float = 8192.0
     stay: float = 0.9
     noise: float = 1.0
@@ -360,17 +360,12 @@ def gather(blocks: DataFrame, model: Model) -> Expected:
 
 
 def fit(blocks: DataFrame, used: Usage, shape: Shape) -> Model:
-    """Baum-Welch over written blocks."""
+    """Baum-Welch over written blocks, all of them in every round."""
     model, share = beginning(shape, used)
-    tokens = blocks.agg(F.sum("n")).first()[0] or 0
-    early = blocks
-    if tokens > shape.early_tokens:
-        of = 1 << 20
-        early = blocks.where(F.pmod(F.xxhash64(F.lit("early"), "block"), F.lit(of)) < int(of * shape.early_tokens / tokens))
-    for _ in range(shape.early_rounds):
-        model = improved(gather(early, model), share, shape.prior)
-    for _ in range(shape.rounds):
-        model = improved(gather(blocks, model), share, shape.prior)
+    tasks = max(blocks.sparkSession.sparkContext.defaultParallelism, -(-blocks.count() // TASK_BLOCKS))
+    fewer = blocks.coalesce(tasks)
+    for _ in range(shape.early_rounds + shape.rounds):
+        model = improved(gather(fewer, model), share, shape.prior)
     return model
 
 

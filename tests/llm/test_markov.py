@@ -8,9 +8,10 @@ from math import log10
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sievewell.llm import markov
-from sievewell.llm.markov import Expected, Model, Shape, Steps, expect, log10_probabilities, score_texts, symbol_of
+from sievewell.llm.markov import Expected, Model, Shape, Steps, expect, fit, gather, improved, log10_probabilities, score_texts, symbol_of, to_blocks, usage, vocabulary
 
 SMALL = Shape(states=3, symbols=64, rounds=2, early_rounds=2, prior=5.0)
 
@@ -155,6 +156,20 @@ def test_the_model_does_not_depend_on_how_rows_are_dealt(docs, prose):
     assert all(one[i] == pytest.approx(many[i], rel=1e-5) for i in one)
 
 
+def test_all_rounds_run_over_all_texts_of_millions_of_tokens(spark, tmp_path):
+    text = "array_join(transform(sequence(1, 800), i -> 'w' || (i * i * (id % 7 + 1) + id) % 500), ' ')"
+    rows = spark.range(0, 3000, 1, 6).selectExpr("id AS doc_id", f"{text} AS text")
+    to_blocks(rows, F.lit(False), SMALL, "doc_id", "text").write.parquet(str(tmp_path / "blocks"))
+    blocks = spark.read.parquet(str(tmp_path / "blocks"))
+    used = usage(vocabulary(blocks, SMALL.symbols), SMALL.symbols)
+    assert used.tokens == 3000 * 801 and blocks.count() >= 6
+    want, share = markov.beginning(SMALL, used)
+    for _ in range(SMALL.early_rounds + SMALL.rounds):
+        want = improved(gather(blocks, want), share, SMALL.prior)
+    got = fit(blocks, used, SMALL)
+    assert all(np.array_equal(getattr(got, x), getattr(want, x)) for x in ("first", "move", "give"))
+
+
 def test_held_out_texts_of_several_kinds_are_likelier_than_by_single_words(docs, prose):
     """Texts draw on one of four vocabularies, which single words cannot tell and states can."""
     rng = np.random.default_rng(1)
