@@ -7,6 +7,7 @@ import re
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from sievewell.llm.pii import FEATURES, Boosted, Counted, boost, find_private, fit_boosted, redact, report_private
 
 # The plain forms.
@@ -108,16 +109,29 @@ def test_trees_give_back_what_separates():
     assert score(low | {"luhn": 1, "digits": 16}) >= model.threshold > score(low) and score(low | {"luhn": 1, "digits": 5}) < model.threshold
 
 
-def test_boosting_learns_from_every_document(spark):
-    """More documents than any sample had: the log odds to begin with are those of all candidates of the boosting half."""
+def many_with_secrets(spark):
+    """More documents than any sample had, of one candidate each, and the log odds of those of the boosting half."""
     text = "CASE WHEN id % 5 = 0 THEN 'token = ' || translate(left(md5(string(id)), 20), '0123456789', 'ghijklmnop') || '9a' ELSE 'see part-number-' || id || '-of-2024' END"
     rows = spark.range(25_000).selectExpr("id AS doc_id", f"{text} AS text")
     total, private = rows.where("pmod(xxhash64('half', text), 2) = 0").selectExpr("count(*)", "count_if(doc_id % 5 = 0)").first()
+    return rows, math.log(private / (total - private))
+
+
+def test_boosting_learns_from_every_document(spark):
+    rows, log_odds = many_with_secrets(spark)
     model = fit_boosted(rows)
-    assert model.base == math.log(private / (total - private))
+    assert model.base == log_odds
     assert model.threshold is not None and find_private(rows, model).where("(size(spans) > 0) <> (doc_id % 5 = 0)").count() == 0
 
 
+def test_the_pipeline_learns_from_every_document(spark, monkeypatch):
+    rows, log_odds = many_with_secrets(spark)
+    models = []
+    monkeypatch.setattr(corpus_pipeline, "redact", lambda docs, model: (models.append(model), redact(docs, model))[1])
+    got = corpus_pipeline.privacy(spark, rows, "")
+    assert models[0].base == log_odds and got.where("(text = 'token = [SECRET]') <> (doc_id % 5 = 0)").count() == 0
+
+
 def test_boosting_over_partitions_equals_boosting_of_a_list(spark):
     rng = random.Random(8)
     table = []
