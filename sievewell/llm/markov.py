@@ -39,6 +39,14 @@ END = b" "
 BLOCK_BYTES = 3 << 20
 #: Tokens whose states are held at once; of longer runs only the states at the bounds are kept, and the rest found anew.
 SPAN = 1 << 19
+#: Tokens of blocks from which texts of like length are put together.
+TOGETHER = 1 << 24
+#: Every how many steps the shares of states are made to add up to one.
+EVERY = 2
+#: Places whose moves or symbols are added up at once.
+WINDOW = 1 << 18
+#: Places turned at once.
+PIECE = 1 << 11
 #: Blocks whose expected counts a task adds up before they are shuffled, unless there would be fewer tasks than cores.
 TASK_BLOCKS = 24
 #: Expected counts are summed as whole numbers of this part.
@@ -140,7 +148,8 @@ def to_blocks(documents: DataFrame, held_out: Column, shape: Shape, doc_id: str,
                 lengths = per_text + 1
                 held = np.asarray(part.column(2).to_numpy(zero_copy_only=False), dtype=bool)
                 train = np.bincount(tokens[~np.repeat(held, lengths)], minlength=len(own) + 1)
-                symbols = np.fromiter((symbol_of(w, shape.symbols) for w in own.to_pylist()), dtype=np.int32, count=len(own))
+                # As ``symbol_of`` has it.
+                symbols = (1 + np.fromiter(map(zlib.crc32, own.to_pylist()), dtype=np.int64, count=len(own)) % (shape.symbols - 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([(part.column(0)[0].as_py() << 32) + made]), pa.array([len(tokens)], pa.int64()), one_list(part.column(1)),
@@ -182,6 +191,20 @@ def usage(words: DataFrame, symbols: int) -> Usage:
 # --- recursions -----------------------------------------------------------------------------
 
 
+class Room:
+    """Arrays that are used again and again, as fresh ones of such a size cost more time than what is done with them."""
+
+    def __init__(self) -> None:
+        self._kept: dict[str, np.ndarray] = {}
+
+    def empty(self, name: str, shape: tuple[int, int], dtype: type) -> np.ndarray:
+        """An array with anything in it; what the last one of that name held is lost."""
+        size = shape[0] * shape[1]
+        if name not in self._kept or len(self._kept[name]) < size or self._kept[name].dtype != dtype:
+            self._kept[name] = np.empty(size, dtype=dtype)
+        return self._kept[name][:size].reshape(shape)
+
+
 @dataclass(frozen=True)
 class Steps:
     """Sequences side by side, longest first: step t has the t-th symbols of the live[t] sequences that are so long.
@@ -196,21 +219,26 @@ class Steps:
     rank: np.ndarray
 
     @classmethod
-    def of(cls, symbols: np.ndarray, lengths: np.ndarray) -> Steps:
-        """``lengths`` of at least one add up to the symbols, which come sequence by sequence."""
+    def of(cls, symbols: np.ndarray, lengths: np.ndarray, starts: np.ndarray | None = None) -> Steps:
+        """``lengths`` are at least one; a sequence begins at its place in ``starts``, else behind the one before it."""
+        starts = np.cumsum(lengths) - lengths if starts is None else starts
         order = np.argsort(-lengths, kind="stable")
         rank = np.empty(len(order), dtype=np.int64)
         rank[order] = np.arange(len(order))
         live = np.searchsorted(-lengths[order], -np.arange(1, lengths.max(initial=0) + 1), side="right")
         first = np.concatenate(([0], np.cumsum(live)))
-        step = np.arange(len(symbols)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        placed = np.empty(len(symbols), dtype=symbols.dtype)
-        placed[first[step] + np.repeat(rank, lengths)] = symbols
-        return cls(placed, live, first, rank)
-
-    def given(self, span: tuple[int, int], model: Model) -> np.ndarray:
-        """(states, places) of a span: how likely each state gives the symbol there."""
-        return np.take(model.give, self.symbol[self.first[span[0]] : self.first[span[1]]], axis=1)
+        place = np.arange(first[-1])
+        place -= np.repeat(first[:-1], live)
+        taken = starts[order][place]
+        taken += np.repeat(np.arange(len(live)), live)
+        return cls(symbols[taken], live, first, rank)
+
+    def given(self, span: tuple[int, int], model: Model, room: Room) -> np.ndarray:
+        """(places, states) of a span: how likely each state gives the symbol there."""
+        symbol = self.symbol[self.first[span[0]] : self.first[span[1]]]
+        out = room.empty("given", (len(symbol), len(model.give)), model.give.dtype)
+        # All symbols are there, so that none is clipped.
+        return np.take(np.ascontiguousarray(model.give.T), symbol, axis=0, out=out, mode="clip")
 
     def spans(self, most: int) -> list[tuple[int, int]]:
         """Runs of steps with no more than ``most`` symbols, of one step at least."""
@@ -222,34 +250,50 @@ class Steps:
         return out
 
 
-def forward(live: np.ndarray, given: np.ndarray, model: Model, before: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Scaled forward recursion over steps: state shares (states, places) after each symbol, and the scales.
+def forward(steps: Steps, span: tuple[int, int], given: np.ndarray, model: Model, before: np.ndarray | None, room: Room) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Scaled forward recursion over a span: state shares (places, states) after each symbol, and what they were divided by.
 
     ``given`` are the probabilities of each place's symbol, ``before`` the
-    shares at the start, None at that of the sequences.  The product of a
-    sequence's scales is its probability.
+    shares at the start, None at that of the sequences.  There are divisors
+    (sequences, 1) for every ``EVERY``-th step from that of the sequences'
+    start; their product and the sum of its last shares make the probability
+    of a sequence.
     """
-    shares, scales = np.empty_like(given), np.empty(given.shape[1], dtype=given.dtype)
-    back = np.ascontiguousarray(model.move.T)
-    at = 0
-    for n in live.tolist():
-        now, scale = shares[:, at : at + n], scales[at : at + n]
-        np.multiply(given[:, at : at + n], model.first[:, None] if before is None else back @ before[:, :n], out=now)
-        np.add.reduce(now, axis=0, out=scale)
-        now /= scale
+    shares, divisors, at = room.empty("shares", given.shape, given.dtype), [], 0
+    ones = np.ones((given.shape[1], 1), dtype=given.dtype)
+    for step, n in enumerate(steps.live[span[0] : span[1]].tolist(), span[0]):
+        now = shares[at : at + n]
+        if before is None:
+            np.multiply(given[:n], model.first, out=now)
+        else:
+            np.matmul(before[:n], model.move, out=now)
+            now *= given[at : at + n]
+        if step % EVERY == 0:
+            divisors.append(now @ ones)
+            now /= divisors[-1]
         before, at = now, at + n
-    return shares, scales
+    return shares, divisors
 
 
-def log10_probabilities(steps: Steps, model: Model) -> np.ndarray:
+def ends(live: np.ndarray, onward: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where sequences end, as places counted from the first of the steps and as ranks; ``onward`` go on after the last step."""
+    later = np.append(live[1:], onward)
+    ended = live - later
+    rank = np.arange(ended.sum()) + np.repeat(later - np.cumsum(ended) + ended, ended)
+    return rank + np.repeat(np.cumsum(live) - live, ended), rank
+
+
+def log10_probabilities(steps: Steps, model: Model, room: Room | None = None) -> np.ndarray:
     """Of each sequence, in the order given to ``Steps.of``."""
-    total, before = np.zeros(len(steps.rank)), None
+    total, before, room = np.zeros(len(steps.rank)), None, room or Room()
     for span in steps.spans(SPAN // 4):
         live = steps.live[span[0] : span[1]]
-        shares, scales = forward(live, steps.given(span, model), model, before)
-        rank = np.arange(len(scales)) - np.repeat(np.cumsum(live) - live, live)
-        total += np.bincount(rank, weights=np.log10(scales), minlength=len(total))
-        before = shares[:, len(scales) - live[-1] :].copy()
+        shares, divisors = forward(steps, span, steps.given(span, model, room), model, before, room)
+        for divisor in divisors:
+            total[: len(divisor)] += np.log10(divisor[:, 0])
+        place, rank = ends(live, 0 if span[1] == len(steps.live) else steps.live[span[1]])
+        total[rank] += np.log10(shares[place].sum(axis=1))
+        before = shares[len(shares) - live[-1] :].copy()
     return total[steps.rank]
 
 
@@ -266,49 +310,69 @@ class Expected:
         return cls(np.zeros(states), np.zeros((states, states)), np.zeros((states, symbols)))
 
 
-def expect(steps: Steps, model: Model) -> Expected:
-    """Baum-Welch: expected counts of all sequences.
+def expect(steps: Steps, model: Model, out: Expected | None = None, room: Room | None = None) -> Expected:
+    """Baum-Welch: expected counts of all sequences, added to ``out``; they depend on the ratios within each symbol's ``give`` only.
 
     Beyond ``SPAN`` tokens only the states at the bounds of spans are kept
     on the way forward; each span's are found again on the way back.
     """
     states, symbols = model.give.shape
-    out = Expected.none(symbols, states)
+    out, room = Expected.none(symbols, states) if out is None else out, room or Room()
     spans, starts, before = steps.spans(SPAN), [], None
     for k, span in enumerate(spans):
         starts.append(before)
         if k + 1 < len(spans):
-            live = steps.live[span[0] : span[1]]
-            shares, scales = forward(live, steps.given(span, model), model, before)
-            before = shares[:, len(scales) - live[-1] :].copy()
-    after = np.zeros((states, 0), dtype=model.give.dtype)
+            shares, _ = forward(steps, span, steps.given(span, model, room), model, before, room)
+            before = shares[len(shares) - steps.live[span[1] - 1] :].copy()
+    after = np.zeros((0, states), dtype=model.give.dtype)
+    onto = np.ascontiguousarray(model.move.T)
     for span, before in zip(reversed(spans), reversed(starts)):
         at, to = steps.first[span[0]], steps.first[span[1]]
         symbol, live = steps.symbol[at:to], steps.live[span[0] : span[1]]
-        later = steps.given(span, model)
-        shares, scales = forward(live, later, model, before)
-        # ``later`` becomes, for each symbol, its probability and all behind it given the state, scaled.
-        later /= scales
-        back = np.ones_like(later)
+        later = steps.given(span, model, room)
+        shares, divisors = forward(steps, span, later, model, before, room)
+        # ``back`` is how likely all behind a symbol is given the state, scaled so that its product with the shares adds up to one;
+        # ``later`` becomes the same with the symbol itself, given the state before it has moved.
+        back = room.empty("back", later.shape, later.dtype)
+        place, _ = ends(live, len(after))
+        back[place] = 1 / shares[place].sum(axis=1, keepdims=True)
         onward = after
-        for n, here in zip(live[::-1].tolist(), (steps.first[span[0] : span[1]] - at)[::-1].tolist()):
-            np.matmul(model.move, onward, out=back[:, here : here + onward.shape[1]])
-            onward = later[:, here : here + n]
-            onward *= back[:, here : here + n]
-        # Moves within the span, then those out of it.
-        previous = np.arange(live[0], to - at) - np.repeat(live[:-1], live[1:])
-        out.move += model.move * (shares[:, previous] @ later[:, live[0] :].T)
+        for step in range(span[1] - 1, span[0] - 1, -1):
+            here, n = steps.first[step] - at, steps.live[step]
+            np.matmul(onward, onto, out=back[here : here + len(onward)])
+            onward = later[here : here + n]
+            onward *= back[here : here + n]
+            if step % EVERY == 0:
+                onward /= divisors.pop()
+        # Moves within the span, then those out of it. As long as no sequence ends, all come from equally far before.
+        moved = np.zeros((states, states))
+        runs = np.append(np.flatnonzero(np.diff(live[:-1], prepend=0)) + 1, len(live))
+        bounds = steps.first[span[0] + runs] - at
+        for start, end, far in zip(bounds.tolist(), bounds[1:].tolist(), live[runs[:-1] - 1].tolist()):
+            for k in range(start, end, WINDOW):
+                some = slice(k, min(k + WINDOW, end))
+                moved += shares[some.start - far : some.stop - far].T @ later[some]
         last = to - at - live[-1]
-        out.move += model.move * (shares[:, last : last + after.shape[1]] @ after.T)
-        shares *= back
-        for s in range(states):
-            out.give[s] += np.bincount(symbol, weights=shares[s], minlength=symbols)
+        moved += shares[last : last + len(after)].T @ after
+        out.move += model.move * moved
+        for k in range(0, to - at, WINDOW):
+            _add_up(out.give, symbol[k : k + WINDOW].astype(np.int64), shares[k : k + WINDOW], back[k : k + WINDOW], room)
         if span[0] == 0:
-            out.first += shares[:, : live[0]].sum(axis=1)
-        after = later[:, : live[0]].copy()
+            out.first += (shares[: live[0]] * back[: live[0]]).sum(axis=0, dtype=np.float64)
+        after = later[: live[0]].copy()
     return out
 
 
+def _add_up(total: np.ndarray, symbol: np.ndarray, shares: np.ndarray, back: np.ndarray, room: Room) -> None:
+    """Add the products of ``shares`` and ``back`` (places, states) of each symbol to ``total`` (states, symbols)."""
+    by_state = room.empty("by_state", shares.shape[::-1], np.float64)
+    # So narrow a table is turned fastest by pieces that stay in the processor's cache.
+    for k in range(0, len(shares), PIECE):
+        by_state[:, k : k + PIECE] = (shares[k : k + PIECE] * back[k : k + PIECE]).T
+    for s, weights in enumerate(by_state):
+        total[s] += np.bincount(symbol, weights=weights, minlength=total.shape[1])
+
+
 # --- training -------------------------------------------------------------------------------
 
 
@@ -327,28 +391,56 @@ def improved(counts: Expected, share: np.ndarray, prior: float) -> Model:
     return Model(first / first.sum(), move / move.sum(axis=1, keepdims=True), give / give.sum(axis=1, keepdims=True))
 
 
+def alike(lengths: np.ndarray, most: int) -> Iterator[np.ndarray]:
+    """Places of the lengths, those of like ones together, in groups of no more than ``most`` altogether or of one."""
+    order = np.argsort(-lengths, kind="stable")
+    total, at = np.cumsum(lengths[order]), 0
+    while at < len(order):
+        to = max(at + 1, int(np.searchsorted(total, total[at] - lengths[order[at]] + most, side="right")))
+        yield order[at:to]
+        at = to
+
+
 def gather(blocks: DataFrame, model: Model) -> Expected:
     """Expected counts of all training texts of the blocks, added up over all partitions."""
     states, symbols = model.give.shape
-    small = Model(*(x.astype(np.float32) for x in (model.first, model.move, model.give)))
-    shared = blocks.sparkSession.sparkContext.broadcast(small)
+    # The ratios of what states give are enough; up to one they cannot become too small within the steps between two divisions.
+    give = np.asfortranarray(model.give / np.maximum(model.give.max(axis=0), np.finfo(np.float64).tiny), dtype=np.float32)
+    shared = blocks.sparkSession.sparkContext.broadcast(Model(model.first.astype(np.float32), model.move.astype(np.float32), give))
     names = [f"s{k}" for k in range(states)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Columns: symbols, then the states moved to, then the first states.
-        total = np.zeros((states, symbols + states + 1), dtype=np.int64)
+        total, room = Expected.none(symbols, states), Room()
+
+        def add(texts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> None:
+            """Texts of like length go through the recursions together, so that there are few steps and many texts in each."""
+            begin = np.cumsum([0, *(len(symbol) for symbol, _, _ in texts)])
+            symbol = np.concatenate([symbol for symbol, _, _ in texts])
+            starts = np.concatenate([b + s for b, (_, s, _) in zip(begin, texts)])
+            lengths = np.concatenate([n for _, _, n in texts])
+            for some in alike(lengths, SPAN):
+                expect(Steps.of(symbol, lengths[some], starts[some]), shared.value, total, room)
+
+        waiting, size = [], 0
         for batch in batches:
             for row in range(batch.num_rows):
                 held = np.array(batch.column(0)[row].values.to_numpy(zero_copy_only=False), dtype=bool)
-                lengths = batch.column(1)[row].values.to_numpy().astype(np.int64)
-                symbols_of = batch.column(3)[row].values.to_numpy()
-                symbol = symbols_of[np.frombuffer(batch.column(2)[row].as_py(), dtype=width(len(symbols_of)))]
                 if held.all():
                     continue
-                found = expect(Steps.of(symbol[~np.repeat(held, lengths)], lengths[~held]), shared.value)
-                total += np.rint(np.hstack([found.give, found.move, found.first[:, None]]) * UNITS).astype(np.int64)
-        some = np.flatnonzero(total.any(axis=0))
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *[pa.array(total[k, some]) for k in range(states)]], names=["place", *names])
+                lengths = batch.column(1)[row].values.to_numpy().astype(np.int64)
+                symbols_of = batch.column(3)[row].values.to_numpy()
+                symbol = symbols_of.astype(width(symbols))[np.frombuffer(batch.column(2)[row].as_py(), dtype=width(len(symbols_of)))]
+                waiting.append((symbol, (np.cumsum(lengths) - lengths)[~held], lengths[~held]))
+                size += len(symbol)
+                if size >= TOGETHER:
+                    add(waiting)
+                    waiting, size = [], 0
+        if waiting:
+            add(waiting)
+        # Columns: symbols, then the states moved to, then the first states.
+        whole = np.rint(np.hstack([total.give, total.move, total.first[:, None]]) * UNITS).astype(np.int64)
+        some = np.flatnonzero(whole.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *[pa.array(whole[k, some]) for k in range(states)]], names=["place", *names])
 
     parts = blocks.select("held", "lengths", "tokens", "symbols").mapInArrow(count, "place int, " + ", ".join(f"{c} bigint" for c in names))
     added = parts.groupBy("place").agg(*[F.sum(c).alias(c) for c in names]).toArrow()
@@ -374,7 +466,8 @@ def fit(blocks: DataFrame, used: Usage, shape: Shape) -> Model:
 
 def score(blocks: DataFrame, words: DataFrame, used: Usage, model: Model) -> DataFrame:
     """Every document of the blocks, scored whole; a block and its different words meet in one task."""
-    shared = blocks.sparkSession.sparkContext.broadcast((model, used))
+    shared = blocks.sparkSession.sparkContext.broadcast((Model(model.first, model.move, np.asfortranarray(model.give)), used))
+    room = Room()
 
     def measure(words: pa.Table, rows: pa.Table) -> pa.Table:
         model, used = shared.value
@@ -387,7 +480,7 @@ def score(blocks: DataFrame, words: DataFrame, used: Usage, model: Model) -> Dat
         plain = np.log10((c + 1) / (used.tokens + used.words + 1))
         within = np.log10((c + 1) / (used.tokens_of[symbols] + used.words_of[symbols] + 1))
         at = np.cumsum(lengths) - lengths
-        hidden = log10_probabilities(Steps.of(symbols[tokens], lengths), model)
+        hidden = log10_probabilities(Steps.of(symbols[tokens], lengths), model, room)
         return pa.Table.from_arrays(
             [
                 ids, held, pa.array(lengths), pa.array(np.add.reduceat((c > 0).astype(np.int64)[tokens], at)),

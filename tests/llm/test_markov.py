@@ -72,6 +72,36 @@ def test_recursions_equal_to_summing_over_all_state_sequences(model, monkeypatch
     assert np.allclose(got.first, want.first) and np.allclose(got.move, want.move) and np.allclose(got.give, want.give)
 
 
+def test_texts_of_like_length_together_count_as_each_by_itself_in_few_steps(model):
+    rng = np.random.default_rng(3)
+    lengths = np.where(np.arange(400) % 100 == 0, 900, rng.integers(1, 30, 400))
+    symbols, starts = rng.integers(0, 6, lengths.sum()), np.cumsum(lengths) - lengths
+    groups = list(markov.alike(lengths, 4000))
+    assert sorted(np.concatenate(groups)) == list(range(400)) and all(lengths[g].sum() <= 4000 for g in groups)
+    assert [g.tolist() for g in markov.alike(np.array([3, 9, 3]), 6)] == [[1], [0, 2]] and list(markov.alike(lengths[:0], 6)) == []
+    got, want, took, room = Expected.none(6, 3), Expected.none(6, 3), 0, markov.Room()
+    for g in groups:
+        steps = Steps.of(symbols, lengths[g], starts[g])
+        expect(steps, model, got, room)
+        took += len(steps.live)
+    for at, n in zip(starts, lengths):
+        expect(Steps.of(symbols[at : at + n], np.array([n])), model, want)
+    assert np.allclose(got.first, want.first) and np.allclose(got.move, want.move) and np.allclose(got.give, want.give)
+    # Four blocks of a hundred texts, each with a long one, took 900 steps each.
+    assert took < 1000
+
+
+def test_single_precision_holds_where_states_hardly_ever_change():
+    """Texts that jump at every step between two states that move once in 300,000,000 symbols."""
+    rare = 3e-9
+    double = Model(np.array([1 - rare, rare]), np.array([[1 - rare, rare], [rare, 1 - rare]]), np.array([[1, 1e-12, 0.5], [1e-12, 1, 0.5]]))
+    single = Model(*(x.astype(np.float32) for x in (double.first, double.move, double.give)))
+    sequences = [[1, 0] * 200, [0, 1, 1, 0, 2] * 50, [1], [0, 0, 1, 1] * 300]
+    steps = Steps.of(np.array(sum(sequences, [])), np.array([len(x) for x in sequences]))
+    got, want = expect(steps, single), expect(steps, double)
+    assert np.allclose(got.first, want.first, rtol=1e-3) and np.allclose(got.move, want.move, rtol=1e-3, atol=1e-3) and np.allclose(got.give, want.give, rtol=1e-3, atol=1e-3)
+
+
 def plain_scores(rows, shape):
     """The contract's columns, and a model trained text by text in the same rounds."""
     train = [words(t) for i, t in rows if not held(i)]
