@@ -55,7 +55,7 @@ UNITS = 1 << 16
 SCHEMA = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 _BLOCKS = (
     "block bigint, n bigint, doc_ids array<bigint>, held array<boolean>, lengths array<int>, tokens binary, "
-    "words array<binary>, symbols array<int>, train array<bigint>"
+    "words array<binary>, train array<bigint>, learn_symbols binary, learn_lengths binary"
 )
 
 
@@ -130,7 +130,10 @@ def symbol_of(word: bytes, symbols: int) -> int:
 
 
 def to_blocks(documents: DataFrame, held_out: Column, shape: Shape, doc_id: str, text: str) -> DataFrame:
-    """Documents as blocks; what is in a block depends on how Spark deals the rows, so blocks must be written before use."""
+    """Documents as blocks; what is in a block depends on how Spark deals the rows, so blocks must be written before use.
+
+    ``learn_symbols`` and ``learn_lengths`` are the training texts as symbols, which is all that the rounds of training read.
+    """
     rows = documents.select(
         F.spark_partition_id().alias("part"), F.col(doc_id).cast("bigint").alias("doc_id"), held_out.alias("held"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
@@ -147,14 +150,17 @@ def to_blocks(documents: DataFrame, held_out: Column, shape: Shape, doc_id: str,
                 tokens = np.insert(numbered.indices.to_numpy(zero_copy_only=False), np.cumsum(per_text), len(own)).astype(width(len(own) + 1))
                 lengths = per_text + 1
                 held = np.asarray(part.column(2).to_numpy(zero_copy_only=False), dtype=bool)
-                train = np.bincount(tokens[~np.repeat(held, lengths)], minlength=len(own) + 1)
+                learned = tokens[~np.repeat(held, lengths)]
+                train = np.bincount(learned, minlength=len(own) + 1)
                 # As ``symbol_of`` has it.
-                symbols = (1 + np.fromiter(map(zlib.crc32, own.to_pylist()), dtype=np.int64, count=len(own)) % (shape.symbols - 1)).astype(np.int32)
+                symbols = 1 + np.fromiter(map(zlib.crc32, own.to_pylist()), dtype=np.int64, count=len(own)) % (shape.symbols - 1)
+                symbols = np.append(symbols, 0).astype(width(shape.symbols))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([(part.column(0)[0].as_py() << 32) + made]), pa.array([len(tokens)], pa.int64()), one_list(part.column(1)),
                         one_list(part.column(2)), one_list(pa.array(lengths, pa.int32())), pa.array([tokens.tobytes()], pa.binary()),
-                        one_list(pa.concat_arrays([own, pa.array([END], pa.binary())])), one_list(pa.array(np.append(symbols, np.int32(0)))), one_list(pa.array(train)),
+                        one_list(pa.concat_arrays([own, pa.array([END], pa.binary())])), one_list(pa.array(train)),
+                        pa.array([symbols[learned].tobytes()], pa.binary()), pa.array([lengths[~held].astype(np.int32).tobytes()], pa.binary()),
                     ],
                     names=[c.split()[0] for c in _BLOCKS.split(", ")],
                 )
@@ -412,25 +418,18 @@ def gather(blocks: DataFrame, model: Model) -> Expected:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, room = Expected.none(symbols, states), Room()
 
-        def add(texts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> None:
+        def add(texts: list[tuple[np.ndarray, np.ndarray]]) -> None:
             """Texts of like length go through the recursions together, so that there are few steps and many texts in each."""
-            begin = np.cumsum([0, *(len(symbol) for symbol, _, _ in texts)])
-            symbol = np.concatenate([symbol for symbol, _, _ in texts])
-            starts = np.concatenate([b + s for b, (_, s, _) in zip(begin, texts)])
-            lengths = np.concatenate([n for _, _, n in texts])
+            symbol, lengths = (np.concatenate(x) for x in zip(*texts))
+            starts = np.cumsum(lengths) - lengths
             for some in alike(lengths, SPAN):
                 expect(Steps.of(symbol, lengths[some], starts[some]), shared.value, total, room)
 
         waiting, size = [], 0
         for batch in batches:
             for row in range(batch.num_rows):
-                held = np.array(batch.column(0)[row].values.to_numpy(zero_copy_only=False), dtype=bool)
-                if held.all():
-                    continue
-                lengths = batch.column(1)[row].values.to_numpy().astype(np.int64)
-                symbols_of = batch.column(3)[row].values.to_numpy()
-                symbol = symbols_of.astype(width(symbols))[np.frombuffer(batch.column(2)[row].as_py(), dtype=width(len(symbols_of)))]
-                waiting.append((symbol, (np.cumsum(lengths) - lengths)[~held], lengths[~held]))
+                symbol = np.frombuffer(batch.column(0)[row].as_py(), dtype=width(symbols))
+                waiting.append((symbol, np.frombuffer(batch.column(1)[row].as_py(), dtype=np.int32).astype(np.int64)))
                 size += len(symbol)
                 if size >= TOGETHER:
                     add(waiting)
@@ -442,7 +441,7 @@ def gather(blocks: DataFrame, model: Model) -> Expected:
         some = np.flatnonzero(whole.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *[pa.array(whole[k, some]) for k in range(states)]], names=["place", *names])
 
-    parts = blocks.select("held", "lengths", "tokens", "symbols").mapInArrow(count, "place int, " + ", ".join(f"{c} bigint" for c in names))
+    parts = blocks.select("learn_symbols", "learn_lengths").mapInArrow(count, "place int, " + ", ".join(f"{c} bigint" for c in names))
     added = parts.groupBy("place").agg(*[F.sum(c).alias(c) for c in names]).toArrow()
     shared.unpersist()
     total = np.zeros((states, symbols + states + 1))
