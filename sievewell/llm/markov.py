@@ -10,12 +10,12 @@ likes while the model that tasks need stays of one size:
 
 Each round of Baum-Welch adds the expected counts of all training texts: a
 task sums its own, Spark adds those of a class, and only the totals of the
-classes (a fixed number) come to the driver.  Counts are summed as whole
-numbers of 1/65536, so that the model does not depend on how rows are dealt.
+classes (a fixed number) come to the driver.  Tasks' counts are summed as whole
+numbers of 1/65536, so that the model hardly depends on how rows are dealt.
 
-Texts are kept as blocks of numbered words, written once.  What is counted
-and looked up are the different words of blocks, not all tokens, and no task
-needs the whole vocabulary.
+Texts are kept as blocks of numbered words, written once, and the training
+texts as symbols besides.  What is counted and looked up are the different
+words of blocks, not all tokens, and no task needs the whole vocabulary.
 """
 
 from __future__ import annotations
