@@ -35,8 +35,10 @@ from sievewell.llm.words import LOWER, NOT_SPACE, slices
 
 #: The end of a text among the words, none of which holds a blank.
 END = b" "
-#: Bytes of text in a block; a longer text is a block of its own.
-BLOCK_BYTES = 3 << 20
+#: Bytes of text in a block; a longer text is a block of its own.  The larger, the fewer rows words have: one for each block they are in.
+BLOCK_BYTES = 16 << 20
+#: Words of so many bytes or more have their CRC found one by one.
+LONG_WORD = 24
 #: Tokens whose states are held at once; of longer runs only the states at the bounds are kept, and the rest found anew.
 SPAN = 1 << 19
 #: Tokens of blocks from which texts of like length are put together.
@@ -47,8 +49,8 @@ EVERY = 2
 WINDOW = 1 << 18
 #: Places turned at once.
 PIECE = 1 << 11
-#: Blocks whose expected counts a task adds up before they are shuffled, unless there would be fewer tasks than cores.
-TASK_BLOCKS = 24
+#: Training tokens whose expected counts a task adds up before they are shuffled, unless there would be fewer tasks than cores.
+TASK_TOKENS = 10_000_000
 #: Expected counts are summed as whole numbers of this part.
 UNITS = 1 << 16
 
@@ -129,6 +131,37 @@ def symbol_of(word: bytes, symbols: int) -> int:
     return 0 if word == END else 1 + zlib.crc32(word) % (symbols - 1)
 
 
+def _crc_table() -> np.ndarray:
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, (table >> 1) ^ np.uint32(0xEDB88320), table >> 1)
+    return table
+
+
+_CRC = _crc_table()
+
+
+def crc32(words: pa.BinaryArray) -> np.ndarray:
+    """What ``zlib.crc32`` gives for each word, byte after byte of all words that have one; long words go there by themselves."""
+    bounds = np.frombuffer(words.buffers()[1], dtype=np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64) if len(words) else np.zeros(1, np.int64)
+    lengths = np.diff(bounds)
+    if not lengths.any():
+        return np.zeros(len(words), dtype=np.uint32)
+    data = np.frombuffer(words.buffers()[2], dtype=np.uint8)
+    order = np.argsort(-lengths, kind="stable")
+    out = np.empty(len(words), dtype=np.uint32)
+    long = int(np.searchsorted(-lengths[order], -LONG_WORD, side="right"))
+    for k in order[:long].tolist():
+        out[k] = zlib.crc32(data[bounds[k] : bounds[k + 1]])
+    order = order[long:]
+    at, live = bounds[order], np.searchsorted(-lengths[order], -np.arange(1, LONG_WORD), side="right")
+    crc = np.full(len(order), 0xFFFFFFFF, dtype=np.uint32)
+    for j, n in enumerate(live[live > 0].tolist()):
+        crc[:n] = _CRC[(crc[:n] ^ data[at[:n] + j]) & 0xFF] ^ (crc[:n] >> 8)
+    out[order] = ~crc
+    return out
+
+
 def to_blocks(documents: DataFrame, held_out: Column, shape: Shape, doc_id: str, text: str) -> DataFrame:
     """Documents as blocks; what is in a block depends on how Spark deals the rows, so blocks must be written before use.
 
@@ -153,7 +186,7 @@ def to_blocks(documents: DataFrame, held_out: Column, shape: Shape, doc_id: str,
                 learned = tokens[~np.repeat(held, lengths)]
                 train = np.bincount(learned, minlength=len(own) + 1)
                 # As ``symbol_of`` has it.
-                symbols = 1 + np.fromiter(map(zlib.crc32, own.to_pylist()), dtype=np.int64, count=len(own)) % (shape.symbols - 1)
+                symbols = 1 + crc32(own).astype(np.int64) % (shape.symbols - 1)
                 symbols = np.append(symbols, 0).astype(width(shape.symbols))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -272,10 +305,11 @@ def forward(steps: Steps, span: tuple[int, int], given: np.ndarray, model: Model
         if before is None:
             np.multiply(given[:n], model.first, out=now)
         else:
-            np.matmul(before[:n], model.move, out=now)
+            # Arrays are small here, and ``dot`` takes less time than ``matmul`` before it begins.
+            np.dot(before[:n], model.move, out=now)
             now *= given[at : at + n]
         if step % EVERY == 0:
-            divisors.append(now @ ones)
+            divisors.append(np.dot(now, ones))
             now /= divisors[-1]
         before, at = now, at + n
     return shares, divisors
@@ -345,7 +379,7 @@ def expect(steps: Steps, model: Model, out: Expected | None = None, room: Room |
         onward = after
         for step in range(span[1] - 1, span[0] - 1, -1):
             here, n = steps.first[step] - at, steps.live[step]
-            np.matmul(onward, onto, out=back[here : here + len(onward)])
+            np.dot(onward, onto, out=back[here : here + len(onward)])
             onward = later[here : here + n]
             onward *= back[here : here + n]
             if step % EVERY == 0:
@@ -453,7 +487,7 @@ def gather(blocks: DataFrame, model: Model) -> Expected:
 def fit(blocks: DataFrame, used: Usage, shape: Shape) -> Model:
     """Baum-Welch over written blocks, all of them in every round."""
     model, share = beginning(shape, used)
-    tasks = max(blocks.sparkSession.sparkContext.defaultParallelism, -(-blocks.count() // TASK_BLOCKS))
+    tasks = max(blocks.sparkSession.sparkContext.defaultParallelism, -(-used.tokens // TASK_TOKENS))
     fewer = blocks.coalesce(tasks)
     for _ in range(shape.early_rounds + shape.rounds):
         model = improved(gather(fewer, model), share, shape.prior)

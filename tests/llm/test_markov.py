@@ -7,6 +7,7 @@ from itertools import product
 from math import log10
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,6 +92,26 @@ def test_texts_of_like_length_together_count_as_each_by_itself_in_few_steps(mode
     assert took < 1000
 
 
+def test_crc_of_many_words_is_that_of_each():
+    rng = np.random.default_rng(2)
+    n = markov.LONG_WORD
+    some = [rng.bytes(k) for k in (*rng.integers(0, 12, 300).tolist(), n - 1, n, n + 1, 500, 0)]
+    for words in (some, [], [b""], [b"", b"x"], [b"a" * n], [b"a" * (n - 1)], ["é😀".encode()]):
+        got = pa.array(words, pa.binary())
+        assert markov.crc32(got).tolist() == [zlib.crc32(w) for w in words]
+        assert markov.crc32(got[1:]).tolist() == [zlib.crc32(w) for w in words[1:]]
+
+
+def test_a_word_has_one_row_for_many_texts_of_a_task(spark, tmp_path):
+    """Nine MB of text had a row for each word and three MB, which the window over words then had to sort."""
+    text = "array_join(transform(sequence(1, 1000), i -> 'word' || (i * 7 + id) % 2000), ' ')"
+    rows = spark.range(0, 1000, 1, 1).selectExpr("id AS doc_id", f"{text} AS text")
+    to_blocks(rows, F.lit(False), SMALL, "doc_id", "text").write.parquet(str(tmp_path / "blocks"))
+    found = vocabulary(spark.read.parquet(str(tmp_path / "blocks")), SMALL.symbols)
+    assert found.count() == found.where("leads").count() == 2001
+    assert found.agg(F.sum("c")).first()[0] == 1000 * 1001
+
+
 def test_single_precision_holds_where_states_hardly_ever_change():
     """Texts that jump at every step between two states that move once in 300,000,000 symbols."""
     rare = 3e-9
